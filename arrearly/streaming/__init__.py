@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The collections rules are a batch re-run over full tables on a run date
+(``Params.as_of``); there is no stream, watermark or state in the rule set, so
+no streaming operator is provided. Dated snapshots are written by
+``arrearly.sources.sinks.write_snapshot``.
+"""
