@@ -55,25 +55,48 @@ def _not_partial():
     return (F.coalesce(F.col("directDebitStatus"), F.lit("NA")) != F.lit(P.PARTIAL_PAYMENT_STATUS)).cast("int")
 
 
+# (due day, installment number, not-partial) packed into one ordered bigint so
+# that "the latest row" is a plain max(): a HashAggregate with map-side
+# partial aggregation instead of a sort-based aggregate over a struct.
+# Layout: day * 2^34 + code(number) * 2 + not_partial, where code(NULL) = 0 and
+# code(n) = n + 2^31 + 1, so NULL numbers sort lowest and never match.
+_NUM_BIAS = (1 << 31) + 1
+_DAY_SHIFT = 1 << 34
+
+
+def _number_code(n):
+    return F.coalesce(n.cast("bigint") + F.lit(_NUM_BIAS), F.lit(0).cast("bigint"))
+
+
+def latest_row_rank(due, number, not_partial):
+    """Ordered bigint code of (due day, number, not-partial flag)."""
+    day = F.unix_date(due).cast("bigint")
+    return day * F.lit(_DAY_SHIFT) + _number_code(number) * F.lit(2) + not_partial.cast("bigint")
+
+
+def latest_row_flags(top, max_number):
+    """From max(latest_row_rank) and max(number): (both maxima on one row,
+    that row not partial)."""
+    top_number = F.pmod(top, F.lit(_DAY_SHIFT)).bitwiseAND(F.lit(-2))
+    both = max_number.isNotNull() & F.coalesce(top_number == _number_code(max_number) * F.lit(2), F.lit(False))
+    return both, both & (F.pmod(top, F.lit(2)) == 1)
+
+
 def latest_state(inst: DataFrame, p: Params) -> DataFrame:
     """One aggregation per account (no self-join) deciding whether a row with
     both maxima exists and whether one such row is not a partial payment.
 
-    max(struct(due, number, not_partial)) is the row with the latest due date,
-    then the highest number on that date, then not-partial if any such row
-    is. Both maxima sit on one row exactly when that number equals the overall
-    maximum number. NULL numbers sort lowest and never equal the maximum.
+    The maximum of latest_row_rank is the row with the latest due date, then
+    the highest number on that date, then not-partial if any such row is.
+    Both maxima sit on one row exactly when that number equals the overall
+    maximum number.
     """
-    return due_rows(inst, p).groupBy(KEY).agg(
+    agg = due_rows(inst, p).groupBy(KEY).agg(
         F.max("installmentNumber").alias("_maxnum"),
-        F.max(F.struct(F.col("installmentDueDate").alias("d"), F.col("installmentNumber").alias("n"),
-                       _not_partial().alias("np"))).alias("_top"),
-    ).select(
-        KEY,
-        F.coalesce(F.col("_top.n") == F.col("_maxnum"), F.lit(False)).alias("has_latest_row"),
-        F.coalesce((F.col("_top.n") == F.col("_maxnum")) & (F.col("_top.np") == 1), F.lit(False))
-        .alias("latest_not_partial"),
+        F.max(latest_row_rank(F.col("installmentDueDate"), F.col("installmentNumber"), _not_partial())).alias("_top"),
     )
+    both, not_partial = latest_row_flags(F.col("_top"), F.col("_maxnum"))
+    return agg.select(KEY, both.alias("has_latest_row"), not_partial.alias("latest_not_partial"))
 
 
 def latest_not_partial(inst: DataFrame, p: Params) -> DataFrame:

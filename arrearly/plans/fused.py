@@ -15,6 +15,9 @@ segment rules are boolean expressions over co-partitioned account tables:
 * bucket_flow  -> bucket_features (first day in the 61-90 DPD range)
 * loan_master  -> band_features   (bands, early default; per account)
 
+The account tables are joined once into ``account_facts`` (label + report
+facts); the report joins it to the base loans and then to the contacts.
+
 "Promise since bucket entry" (a range join) becomes ``latest promise up to
 the run date >= entry day``. The only global value is the NOT IN null rule of
 the payment set: "is there a NULL account paid in the window" — a scalar
@@ -32,6 +35,7 @@ from arrearly import params as P
 from arrearly.functions import columns as C
 from arrearly.operators import buckets as BK
 from arrearly.operators import calls as CL
+from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators.nullsafe import KEY
 from arrearly.params import Params
@@ -83,16 +87,14 @@ def installment_features(inst: DataFrame, p: Params) -> DataFrame:
         .agg(
             _any(C.trailing_window_with_sentinel("lastPaymentDate", p.as_of, p.paid_days)).alias("paid_recently"),
             F.max(F.when(due, F.col("installmentNumber"))).alias("_maxnum"),
-            F.max(F.when(due, F.struct(F.col("installmentDueDate").alias("d"),
-                                       F.col("installmentNumber").alias("n"),
-                                       not_partial.alias("np")))).alias("_top"),
+            F.max(F.when(due, IN.latest_row_rank(F.col("installmentDueDate"), F.col("installmentNumber"),
+                                                 not_partial))).alias("_top"),
             F.min(F.when(F.col("isCurrentDelinquent") == 1, F.col("installmentNumber")))
             .alias("minunpaidinstallmentnumber"),
         )
         .select(
             KEY, "paid_recently", "minunpaidinstallmentnumber",
-            F.coalesce((F.col("_top.n") == F.col("_maxnum")) & (F.col("_top.np") == 1), F.lit(False))
-            .alias("latest_not_partial"),
+            IN.latest_row_flags(F.col("_top"), F.col("_maxnum"))[1].alias("latest_not_partial"),
         )
     )
 
@@ -113,27 +115,30 @@ def early_attempts(calls: DataFrame, bucket: DataFrame, p: Params) -> DataFrame:
 
 
 def band_features(lm: DataFrame, p: Params) -> DataFrame:
+    """Per master account: in which DPD bands any of its rows is, and whether
+    any row is an early default (the rules test accounts, not rows)."""
     d = C.dpd()
-    in_a, in_b, in_c = C.in_band(d, p.band_a), C.in_band(d, p.band_b), C.in_band(d, p.band_c)
     return (
-        lm.where(_acct().isNotNull() & (in_a | in_b | in_c))
+        lm.where(_acct().isNotNull())
         .groupBy(KEY)
         .agg(
-            _any(in_a).alias("band_a"), _any(in_b).alias("band_b"), _any(in_c).alias("band_c"),
+            _any(C.in_band(d, p.band_a)).alias("band_a"),
+            _any(C.in_band(d, p.band_b)).alias("band_b"),
+            _any(C.in_band(d, p.band_c)).alias("band_c"),
             _any(C.early_default()).alias("early_default"),
         )
     )
 
 
-def segment_flags(t: LoanTables, p: Params) -> DataFrame:
-    """Per account in any band: membership of Segments A, B and C."""
-    cf = call_features(t.calls, p)
-    inf = installment_features(t.installments, p)
+def account_facts(t: LoanTables, p: Params) -> DataFrame:
+    """One row per master account: segment label and the report's call and
+    installment facts. Every input is aggregated to the account once; the
+    joins below are all on the account, so they are co-partitioned and add no
+    exchange of their own."""
     f = (
         band_features(t.loan_master, p)
-        .join(cf.select(KEY, "kept_promise", "unconnected_recent", "refusal", "no_contact", "last_promise_upto"),
-              KEY, "left")
-        .join(inf.select(KEY, "paid_recently", "latest_not_partial"), KEY, "left")
+        .join(call_features(t.calls, p), KEY, "left")
+        .join(installment_features(t.installments, p), KEY, "left")
         .join(bucket_features(t.bucket_flow, p), KEY, "left")
         .join(early_attempts(t.calls, t.bucket_flow, p), KEY, "left")
     )
@@ -145,24 +150,26 @@ def segment_flags(t: LoanTables, p: Params) -> DataFrame:
     seg_b = (yes("band_b") & no("latest_not_partial") & (yes("unconnected_recent") | yes("refusal"))
              & ~promise_since_entry)
     seg_c = yes("band_c") & no("kept_promise") & no("paid_recently") & ~paid_null_account(t.installments, p)
-    return f.select(KEY, seg_a.alias("segment_a"), seg_b.alias("segment_b"), seg_c.alias("segment_c"))
+    la, lb, lc = P.SEGMENT_LABELS
+    label = F.when(seg_a, la).when(seg_b, lb).when(seg_c, lc).otherwise(P.NO_SEGMENT_LABEL)
+    return f.select(KEY, label.alias("Segment"), "lastrpcdate", "lastptpdate", "minunpaidinstallmentnumber")
 
 
 def segment_labels(t: LoanTables, p: Params) -> DataFrame:
     """(account, label) for accounts in some segment; A before B before C."""
-    la, lb, lc = P.SEGMENT_LABELS
-    label = (F.when(F.col("segment_a"), la).when(F.col("segment_b"), lb).when(F.col("segment_c"), lc))
-    return segment_flags(t, p).select(KEY, label.alias("Segment")).where(F.col("Segment").isNotNull())
+    return (
+        account_facts(t, p)
+        .where(F.col("Segment") != P.NO_SEGMENT_LABEL)
+        .select(KEY, "Segment")
+    )
 
 
 def delinquency_report_fused(t: LoanTables, p: Params) -> DataFrame:
-    base = LN.loans_base(t.loan_master)
-    cf = call_features(t.calls, p).select(KEY, "lastrpcdate", "lastptpdate")
-    inf = installment_features(t.installments, p).select(KEY, "minunpaidinstallmentnumber")
+    """Report rows = base loans (one per loan) x active contacts of the
+    customer; a loan without account facts (NULL account) is labelled 'NA'."""
     df = (
-        base.join(segment_labels(t, p), KEY, "left")
+        LN.loans_base(t.loan_master)
+        .join(account_facts(t, p), KEY, "left")
         .withColumn("Segment", F.coalesce(F.col("Segment"), F.lit(P.NO_SEGMENT_LABEL)))
-        .join(inf, KEY, "left")
-        .join(cf, KEY, "left")
     )
     return report_columns(attach_contacts(df, t.contacts))

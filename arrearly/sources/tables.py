@@ -46,8 +46,12 @@ class LoanTables:
     def as_dict(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in TABLE_NAMES}
 
-    def write_parquet(self, root: str, mode: str = "overwrite") -> None:
-        """Materialise all five tables (e.g. once per fixture size)."""
+    def write_parquet(self, root: str, mode: str = "overwrite", num_files: int | None = None) -> None:
+        """Materialise all five tables (e.g. once per fixture size). With
+        ``num_files`` each table is spread evenly over that many files, so a
+        later scan has at least that many splits."""
         root = root.rstrip("/")
         for n, df in self.as_dict().items():
+            if num_files:
+                df = df.repartition(num_files)
             df.write.mode(mode).parquet(f"{root}/{n}")
