@@ -26,14 +26,23 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
-    """Sharded CSV export (one file per partition), overwriting ``path``."""
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", null_value: str = "") -> None:
+    """Sharded CSV export (one file per partition), overwriting ``path``.
 
+    By default a NULL is written as an empty field, like the spreadsheet-style
+    export; empty strings are quoted (``""``). Spark's reader maps both back
+    to NULL unless a distinct ``null_value`` marker (e.g. ``\\N``) is used on
+    both sides, which makes the round trip lossless.
+    """
+    (df.write.mode("overwrite").option("header", header).option("sep", sep)
+     .option("nullValue", null_value).csv(path))
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ",") -> DataFrame:
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ",",
+             null_value: str = "") -> DataFrame:
     """Read an export back with its fixed schema (no inference)."""
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(path)
+    return (spark.read.schema(schema).option("header", header).option("sep", sep)
+            .option("nullValue", null_value).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -1,0 +1,89 @@
+"""Operator-level properties: skew-safe row numbering, latest-row rank, profile,
+report structure."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from arrearly.operators import contacts as CT
+from arrearly.operators import installments as IN
+from arrearly.operators.nullsafe import KEY
+from arrearly.operators.profile import profile
+from arrearly.operators.windows import row_number_by_range
+from arrearly.params import Params
+from arrearly.plans import fused
+from arrearly.sources.tables import LoanTables
+
+
+def test_row_number_by_range_equals_window_on_a_hot_group(spark):
+    # group 0 holds half of the rows; range partitioning splits it over tasks
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
+        ((F.col("id") * 7919) % 4001).alias("o"),
+    )
+    got = row_number_by_range(df, "g", ["o"], out="rn", num_partitions=6)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("bigint"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the hot group really is spread over several partitions
+    parts = (df.repartitionByRange(6, "g", "o").where("g = 0")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
+
+
+def test_contact_rank_oldest_first(spark, sf0001):
+    t = LoanTables.from_fixtures(spark, sf0001)
+    r = CT.contact_rank(t.contacts)
+    w = Window.partitionBy("customer_id").orderBy("change_date", "new_mobile_number")
+    want = (t.contacts.where("ACTIVE = 'Y'").select("customer_id", "new_mobile_number", "change_date")
+            .withColumn("rnk", F.row_number().over(w).cast("bigint")))
+    assert r.exceptAll(want).count() == 0 and want.exceptAll(r).count() == 0
+
+
+def test_latest_row_rank_orders_like_the_tuple(spark):
+    rows = [
+        (dt.date(2024, 1, 1), 3, 1), (dt.date(2024, 1, 1), None, 1), (dt.date(2024, 1, 2), 1, 0),
+        (dt.date(1960, 5, 1), 2, 1), (dt.date(2024, 1, 2), 1, 1), (dt.date(2024, 1, 2), -4, 1),
+    ]
+    df = spark.createDataFrame(rows, "due date, n int, np int")
+    ranked = df.select("due", "n", "np", IN.latest_row_rank(F.col("due"), F.col("n"), F.col("np")).alias("r"))
+    got = [(r["due"], r["n"], r["np"]) for r in ranked.orderBy("r").collect()]
+    key = lambda t: (t[0], -(2 ** 40) if t[1] is None else t[1], t[2])
+    assert got == sorted(rows, key=key)
+
+
+def test_profile_counts_non_null(spark, sf0001):
+    t = LoanTables.from_fixtures(spark, sf0001)
+    rep = fused.delinquency_report_fused(t, Params())
+    prof = {r["column_name"]: r for r in profile(rep).collect()}
+    n = rep.count()
+    assert len(prof) == 20 and all(r["rows"] == n for r in prof.values())
+    assert prof["loanAccountNumber"]["data_type"] == "string"
+    assert prof["Segment"]["non_null"] == n
+    assert prof["lastptpdate"]["non_null"] == rep.where("lastptpdate IS NOT NULL").count()
+
+
+def test_report_rows_equal_loans_times_active_contacts(spark, sf0001):
+    t = LoanTables.from_fixtures(spark, sf0001)
+    rep = fused.delinquency_report_fused(t, Params())
+    from arrearly.operators import loans as LN
+
+    per_customer = t.contacts.where("ACTIVE = 'Y'").groupBy(F.col("customer_id").alias("customerId")).count()
+    expected = (LN.loans_base(t.loan_master).join(per_customer, "customerId", "left")
+                .select(F.sum(F.greatest(F.coalesce("count", F.lit(0)), F.lit(1)))).first()[0])
+    assert rep.count() == expected
+    assert rep.where(F.col("Segment") == "NA").count() > 0  # NA rows stay in the output
+
+
+def test_segments_are_disjoint_and_prioritised(spark, sf0001):
+    from arrearly.operators import segments as SG
+
+    t = LoanTables.from_fixtures(spark, sf0001)
+    p = Params()
+    a, b, c = SG.segment_keys(t, p)
+    labels = {r[KEY]: r["Segment"] for r in fused.segment_labels(t, p).collect()}
+    for keyset, name in ((c, "Segment C"), (b, "Segment B"), (a, "Segment A")):
+        for r in keyset.collect():
+            assert labels[r[KEY]] <= name  # 'Segment A' < 'Segment B' < 'Segment C'

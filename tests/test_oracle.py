@@ -1,0 +1,50 @@
+"""Every registered query against its DuckDB oracle on the sf0.001 tables."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
+
+import __spark_entry__ as E  # noqa: E402
+from check_oracle import TABLES, _hash  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+QUERIES = E.queries()
+ORACLE = E.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    c.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    yield c
+    c.close()
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_query_matches_oracle(spark, con, key):
+    df = QUERIES[key](spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    res = con.execute(ORACLE[key])
+    ocols = [x[0] for x in res.description]
+    orows = res.fetchall()
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(rows) == len(orows)
+    assert _hash(rows, df.columns) == _hash(orows, ocols)
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.count() == 2411
+    assert df.columns[:2] == ["customerId", "loanAccountNumber"]
