@@ -115,9 +115,14 @@ def _wrapup(eid, etype):
 
 
 def calls(events: DataFrame, orders: DataFrame) -> DataFrame:
-    e = events.select("event_id", "ts", "user_id", "event_type")
-    o = orders.select("o_orderkey", "o_custkey")
-    j = e.join(o, (e.user_id == o.o_custkey) & ((e.event_id + o.o_orderkey) % 3 == 0), "inner")
+    # (event_id + o_orderkey) % 3 == 0  <=>  o_orderkey % 3 == (3 - event_id % 3) % 3 for the
+    # non-negative keys used here; as an equi-key it keeps non-matching event x order pairs of a
+    # customer from ever being produced and spreads one customer over three join keys.
+    e = events.select("event_id", "ts", "user_id", "event_type",
+                      ((F.lit(3) - F.col("event_id") % 3) % 3).alias("_res"))
+    o = orders.select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 3).alias("_res"))
+    j = e.join(o, (e.user_id == o.o_custkey) & (e._res == o._res)
+               & ((e.event_id + o.o_orderkey) % 3 == 0), "inner")
     eid, ts = F.col("event_id"), F.col("ts")
     promise = eid % 30 == 0
     return j.select(
@@ -154,7 +159,10 @@ def bucket_flow(loans: DataFrame, events: DataFrame) -> DataFrame:
         "currentDelinquency",
         F.explode(F.when(first <= last, F.sequence(first, last))).alias("bucketDate"),
     )
-    j = cand.join(days, "bucketDate", "inner")
+    # The day table holds distinct DATE values inside the observed span: bounded by the span
+    # (and by the DATE type's ~3.65M values at worst), never by the data volume. Broadcasting
+    # it avoids a shuffle join on a key with only a few distinct values.
+    j = cand.join(F.broadcast(days), "bucketDate", "inner")
     return j.select(
         "loanAccountNumber",
         "bucketDate",
