@@ -29,6 +29,29 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _plan_shape(spark, build) -> dict:
+    """Scans and exchanges of the plan a large input would get: broadcast
+    joins disabled, so every join shows the exchanges it needs at scale."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        plan = build()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    lines = plan.splitlines()
+    return {
+        "scans": sum("Scan parquet" in x for x in lines),
+        "exchanges": sum(("Exchange" in x) and ("BroadcastExchange" not in x) and ("Reused" not in x)
+                         for x in lines),
+    }
+
+
 def _time(fn, reps: int = 3) -> float:
     ts = []
     for _ in range(reps):
@@ -42,7 +65,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(
-        f"local[{cpus}]", shuffle_partitions=2 * cpus,
+        f"local[{cpus}]", shuffle_partitions=4 * cpus,
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     p = Params()
@@ -69,6 +92,10 @@ def main() -> None:
         fn()
     times = {k: _time(fn) for k, fn in q.items()}
     times["materialize_loan_tables"] = materialize
+    plans = {
+        "report_fused": _plan_shape(spark, lambda: fused.delinquency_report_fused(t, p)),
+        "report_stepwise": _plan_shape(spark, lambda: report.delinquency_report(t, p)),
+    }
     headline = times.get("report_fused", next(iter(times.values())))
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
@@ -78,6 +105,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
+        "plan_shape_at_scale": plans,
     }))
     spark.stop()
 
