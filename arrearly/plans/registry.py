@@ -139,6 +139,8 @@ QUERIES: dict[str, Query] = {
     "segment_label_fused": _q(lambda t, p: LN.loans_base(t.loan_master).select(KEY)
                               .join(fused.segment_labels(t, p), KEY, "left")
                               .select(KEY, F.coalesce("Segment", F.lit("NA")).alias("Segment"))),
+    "account_facts": _q(fused.account_facts),
+    "early_dpd_attempts": _q(lambda t, p: BK.early_dpd_attempts(t.calls, t.bucket_flow, p)),
     "delinquency_report": _q(report.delinquency_report),
     "delinquency_report_fused": _q(fused.delinquency_report_fused),
     "delinquency_report_v0": _q(report.delinquency_report_v0),
@@ -236,6 +238,17 @@ _SELECTS: dict[str, str] = {
     "segment_a": "SELECT * FROM seg_a",
     "segment_label": "SELECT loanAccountNumber, Segment FROM labelled",
     "segment_label_fused": "SELECT loanAccountNumber, Segment FROM labelled",
+    "account_facts": """SELECT a.loanAccountNumber,
+          CASE WHEN a.loanAccountNumber IN (SELECT loanAccountNumber FROM seg_a) THEN 'Segment A'
+               WHEN a.loanAccountNumber IN (SELECT loanAccountNumber FROM seg_b) THEN 'Segment B'
+               WHEN a.loanAccountNumber IN (SELECT loanAccountNumber FROM seg_c) THEN 'Segment C'
+               ELSE 'NA' END AS Segment,
+          rpc.lastrpcdate, ptp.lastptpdate, unpaid.minunpaidinstallmentnumber
+        FROM (SELECT DISTINCT loanAccountNumber FROM loan_master WHERE loanAccountNumber IS NOT NULL) a
+        LEFT JOIN rpc ON rpc.loanAccountNumber = a.loanAccountNumber
+        LEFT JOIN ptp ON ptp.loanAccountNumber = a.loanAccountNumber
+        LEFT JOIN unpaid ON unpaid.loanAccountNumber = a.loanAccountNumber""",
+    "early_dpd_attempts": "SELECT * FROM attempts",
     "delinquency_report": f"SELECT {_REPORT_COLS} FROM report",
     "delinquency_report_fused": f"SELECT {_REPORT_COLS} FROM report",
     "delinquency_report_v0": f"SELECT {_REPORT_V0_COLS} FROM report",
