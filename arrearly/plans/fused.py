@@ -6,14 +6,18 @@ aggregate, so each input is aggregated to one row per account in one pass
 (partial aggregation before the shuffle keeps a hot account cheap), and all
 segment rules are boolean expressions over co-partitioned account tables:
 
-* calls        -> call_features   (kept promise, unconnected, refusal, no
-                                   contact, last RPC day, last promise,
-                                   latest promise up to the run date)
-* calls+bucket -> early_attempts  (per (account, day) counts on both sides)
+* calls        -> call_days   (per account and day: every call rule, queue calls)
+* bucket_flow  -> bucket_days (per account and day, both DPD ranges in one
+                               filtered scan: early rows, entry date)
+* call_days FULL JOIN bucket_days on (account, day), then per account
+               -> activity_features (kept promise, unconnected, refusal, no
+                  contact, last RPC day, last promise, latest promise up to
+                  the run date, first 61-90 day, same-day attempts)
 * installments -> installment_features (paid in window, latest-row state,
-                                   lowest unpaid number)
-* bucket_flow  -> bucket_features (first day in the 61-90 DPD range)
-* loan_master  -> band_features   (bands, early default; per account)
+                  lowest unpaid number)
+* loan_master  -> band_features (bands, early default; per account)
+
+So each input is scanned once (the master twice: flags and report rows).
 
 The account tables are joined once into ``account_facts`` (label + report
 facts); the report joins it to the base loans and then to the contacts.
@@ -52,7 +56,12 @@ def _any(cond: Column) -> Column:
     return F.coalesce(F.max(F.coalesce(cond, F.lit(False))), F.lit(False))
 
 
-def call_features(calls: DataFrame, p: Params) -> DataFrame:
+def call_days(calls: DataFrame, p: Params) -> DataFrame:
+    """Calls reduced to one row per (account, call day): every call rule as a
+    per-day any()/max(), plus the number of queue calls (for the same-day
+    attempt count). Partial aggregation runs before the shuffle, and a hot
+    account spreads over its days. This one table feeds both the per-account
+    features and the attempt join, so the call log is scanned once."""
     queue = CL.queue_filter(p)
     mobile = F.col("mobileNumber").isNotNull()
     unconnected = F.col("connected") == 0
@@ -60,7 +69,7 @@ def call_features(calls: DataFrame, p: Params) -> DataFrame:
     upto = F.col("PTP_Date") < F.lit(p.as_of + dt.timedelta(days=1))
     return (
         calls.where(_acct().isNotNull())
-        .groupBy(KEY)
+        .groupBy(KEY, C.day("callDatetime").alias("day"))
         .agg(
             _any(queue & (F.col("PTP_Kept") == 1)
                  & C.trailing_window("Payment_Receiving_Date", p.as_of, p.kept_promise_days)).alias("kept_promise"),
@@ -72,6 +81,7 @@ def call_features(calls: DataFrame, p: Params) -> DataFrame:
             F.max(F.when(queue & (C.rpc() == 1), C.day("callDatetime"))).alias("lastrpcdate"),
             F.max(F.when(promise, F.col("PTP_Date"))).alias("lastptpdate"),
             F.max(F.when(promise & upto, C.day("PTP_Date"))).alias("last_promise_upto"),
+            F.count(F.when(queue, F.lit(1))).alias("queue_calls"),
         )
     )
 
@@ -106,12 +116,42 @@ def paid_null_account(inst: DataFrame, p: Params) -> Column:
     ).exists()
 
 
-def bucket_features(bucket: DataFrame, p: Params) -> DataFrame:
-    return BK.bucket_entry(bucket, p).select(KEY, F.col("bucketdate").alias("bucket_entry"))
+def bucket_days(bucket: DataFrame, p: Params) -> DataFrame:
+    """Bucket rows of both DPD ranges reduced to one row per (account, day):
+    the number of early-DPD rows and the earliest bucket date in the entry
+    range. Feeds both the entry day and the attempt join (one scan)."""
+    dpd = F.col("Max_current_DPD")
+    early = dpd.between(*p.early_dpd)
+    entry = dpd.between(*p.bucket_entry_dpd)
+    return (
+        bucket.where(_acct().isNotNull() & (early | entry))
+        .groupBy(KEY, C.day("bucketDate").alias("day"))
+        .agg(F.count(F.when(early, F.lit(1))).alias("early_rows"),
+             F.min(F.when(entry, F.col("bucketDate"))).alias("entry_date"))
+    )
 
 
-def early_attempts(calls: DataFrame, bucket: DataFrame, p: Params) -> DataFrame:
-    return BK.early_dpd_attempts(calls, bucket, p)
+def activity_features(calls: DataFrame, bucket: DataFrame, p: Params) -> DataFrame:
+    """Per account, from one scan of the call log and one of the bucket flow:
+    the call rules, the first 61-90 DPD day and the same-day attempt count.
+
+    The two day tables are unique on (account, day) and already hash-
+    partitioned on it, so their full outer join adds no exchange and is
+    one-to-one; the attempt count is queue calls x early bucket rows on the
+    days present on both sides (the product of the row-level join).
+    """
+    days = call_days(calls, p).join(bucket_days(bucket, p), [KEY, "day"], "full")
+    return days.groupBy(KEY).agg(
+        _any(F.col("kept_promise")).alias("kept_promise"),
+        _any(F.col("unconnected_recent")).alias("unconnected_recent"),
+        _any(F.col("refusal")).alias("refusal"),
+        _any(F.col("no_contact")).alias("no_contact"),
+        F.max("lastrpcdate").alias("lastrpcdate"),
+        F.max("lastptpdate").alias("lastptpdate"),
+        F.max("last_promise_upto").alias("last_promise_upto"),
+        F.min("entry_date").alias("bucket_entry"),
+        F.coalesce(F.sum(F.col("queue_calls") * F.col("early_rows")), F.lit(0)).alias("attempts"),
+    )
 
 
 def band_features(lm: DataFrame, p: Params) -> DataFrame:
@@ -137,10 +177,8 @@ def account_facts(t: LoanTables, p: Params) -> DataFrame:
     exchange of their own."""
     f = (
         band_features(t.loan_master, p)
-        .join(call_features(t.calls, p), KEY, "left")
+        .join(activity_features(t.calls, t.bucket_flow, p), KEY, "left")
         .join(installment_features(t.installments, p), KEY, "left")
-        .join(bucket_features(t.bucket_flow, p), KEY, "left")
-        .join(early_attempts(t.calls, t.bucket_flow, p), KEY, "left")
     )
     no = lambda c: ~F.coalesce(F.col(c), F.lit(False))
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
