@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from arrearly import params as P
 from arrearly.functions import columns as C
-from arrearly.operators import buckets as BK
 from arrearly.operators import calls as CL
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
