@@ -12,6 +12,7 @@ driver).
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from arrearly.operators.profile import profile
 from arrearly.params import Params
@@ -21,12 +22,13 @@ from arrearly.sources import sinks
 from arrearly.sources.tables import LoanTables
 
 
-def main(argv=None) -> None:
+def main(argv=None, spark=None) -> None:
     ap = argparse.ArgumentParser(prog="arrearly")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="root folder with the five Parquet tables")
     src.add_argument("--fixtures", help="driver test-table folder to derive the tables from")
-    ap.add_argument("--as-of", default=None, help="run date (YYYY-MM-DD); default: fixture day")
+    ap.add_argument("--as-of", default=None,
+                    help="run date (YYYY-MM-DD or 'today' = current UTC date); default: fixture day")
     ap.add_argument("--out", required=True, help="output root")
     ap.add_argument("--csv", action="store_true", help="also export CSV")
     ap.add_argument("--table", default=None, help="also (re)create this catalog table")
@@ -34,8 +36,11 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
-    spark = build_session(a.master)
-    p = Params.of(a.as_of)
+    spark = spark or build_session(a.master)
+    as_of = a.as_of
+    if as_of == "today":
+        as_of = dt.datetime.now(dt.timezone.utc).date()
+    p = Params.of(as_of)
     t = LoanTables.from_parquet(spark, a.tables) if a.tables else LoanTables.from_fixtures(spark, a.fixtures)
     df = (report.delinquency_report if a.stepwise else fused.delinquency_report_fused)(t, p)
     out = a.out.rstrip("/")

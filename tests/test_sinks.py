@@ -78,3 +78,14 @@ def test_raw_dataset_and_parquet_tables(spark, sf0001):
     path = sinks.write_raw_dataset(rep, scratch_path(spark, "t-raw"))
     assert path.endswith("/Rawdata")
     assert _same(rep, spark.read.parquet(path))
+
+
+def test_command_line_run(spark, sf0001, capsys):
+    from arrearly.__main__ import main
+
+    out = scratch_path(spark, "t-cli")
+    main(["--fixtures", sf0001, "--out", out, "--csv"], spark=spark)
+    printed = capsys.readouterr().out
+    assert "rows: 2411" in printed
+    assert sinks.read_snapshot(spark, f"{out}/snapshots", Params()).count() == 2411
+    assert sinks.read_csv(spark, f"{out}/csv/2024-02-10", schemas.REPORT).count() == 2411
