@@ -1,10 +1,18 @@
 """Benchmark of the headline queries.
 
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
-and prints one JSON line. The five loan tables are first derived from the
-driver tables and written as Parquet (as the warehouse tables would exist),
-then every headline query runs twice to warm up, then three times timed (median).
-Queries execute completely through the ``noop`` sink: nothing is collected.
+and prints one JSON line.
+
+* The five loan tables are derived once from the driver tables and written as
+  Parquet, one file per core (as multi-file warehouse tables would exist).
+* Each headline query then runs in its own Spark application (a child
+  process with its own JVM), as the periodic report runs in production:
+  three warm-up runs, then three timed runs, median reported. Mixing
+  different plans in one JVM slows each of them down (shared operator code
+  gets less specialised JIT code), which a production run never sees.
+* Queries execute completely through the ``noop`` sink: nothing is collected.
+* ``plan_shape_at_scale`` counts scans and exchanges with broadcast joins
+  disabled, i.e. the plan a large input gets.
 """
 
 from __future__ import annotations
@@ -12,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import subprocess
 import sys
 import tempfile
 import time
@@ -24,6 +33,23 @@ from arrearly.plans import fused, report  # noqa: E402
 from arrearly.session import build_session  # noqa: E402
 from arrearly.sources.tables import LoanTables  # noqa: E402
 
+QUERIES = {
+    "report_fused": lambda t, d, p: fused.delinquency_report_fused(t, p),
+    "report_stepwise": lambda t, d, p: report.delinquency_report(t, p),
+    "segments_fused": lambda t, d, p: fused.segment_labels(t, p),
+    "segments_stepwise": lambda t, d, p: (SG.segment_a(t, p).select("loanAccountNumber")
+                                          .unionByName(SG.segment_b(t, p).select("loanAccountNumber"))
+                                          .unionByName(SG.segment_c(t, p))),
+    "report_fused_from_driver_tables": lambda t, d, p: fused.delinquency_report_fused(d, p),
+}
+
+
+def _session(cpus: int):
+    return build_session(
+        f"local[{cpus}]", shuffle_partitions=4 * cpus,
+        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")},
+    )
+
 
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
@@ -52,52 +78,56 @@ def _plan_shape(spark, build) -> dict:
     }
 
 
-def _time(fn, reps: int = 3) -> float:
+def child(key: str, tables: str, sf_dir: str, cpus: int, warmups: int = 3, reps: int = 3) -> None:
+    """Time one query in this process's own Spark application."""
+    spark = _session(cpus)
+    p = Params()
+    t = LoanTables.from_parquet(spark, tables)
+    d = LoanTables.from_fixtures(spark, sf_dir)
+    df = QUERIES[key](t, d, p)
+    for _ in range(warmups):
+        _run(df)
     ts = []
     for _ in range(reps):
         t0 = time.perf_counter()
-        fn()
+        _run(df)
         ts.append(time.perf_counter() - t0)
-    return round(statistics.median(ts), 3)
+    print("BENCH_CHILD " + json.dumps({"key": key, "sec": round(statistics.median(ts), 3),
+                                       "runs": [round(x, 3) for x in ts]}), flush=True)
+    spark.stop()
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(
-        f"local[{cpus}]", shuffle_partitions=4 * cpus,
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
-    )
+    spark = _session(cpus)
     p = Params()
     scratch = tempfile.mkdtemp(prefix="arrearly-bench-")
-    derived = LoanTables.from_fixtures(spark, sf_dir)
+    tables = f"{scratch}/tables"
 
     t0 = time.perf_counter()
-    derived.write_parquet(f"{scratch}/tables")
+    LoanTables.from_fixtures(spark, sf_dir).write_parquet(tables, num_files=cpus)
     materialize = round(time.perf_counter() - t0, 3)
-    t = LoanTables.from_parquet(spark, f"{scratch}/tables")
-
-    q = {
-        "report_fused": lambda: _run(fused.delinquency_report_fused(t, p)),
-        "report_stepwise": lambda: _run(report.delinquency_report(t, p)),
-        "segments_fused": lambda: _run(fused.segment_labels(t, p)),
-        "segments_stepwise": lambda: _run(SG.segment_a(t, p).select("loanAccountNumber")
-                                          .unionByName(SG.segment_b(t, p).select("loanAccountNumber"))
-                                          .unionByName(SG.segment_c(t, p))),
-        "report_fused_from_driver_tables": lambda: _run(fused.delinquency_report_fused(derived, p)),
-    }
-    only = set(sys.argv[1:])
-    q = {k: fn for k, fn in q.items() if not only or k in only}
-    for _ in range(2):  # warm-up passes: JIT and codegen caches
-        for fn in q.values():
-            fn()
-    times = {k: _time(fn) for k, fn in q.items()}
-    times["materialize_loan_tables"] = materialize
+    t = LoanTables.from_parquet(spark, tables)
     plans = {
         "report_fused": _plan_shape(spark, lambda: fused.delinquency_report_fused(t, p)),
         "report_stepwise": _plan_shape(spark, lambda: report.delinquency_report(t, p)),
     }
-    headline = times.get("report_fused", next(iter(times.values())))
+    spark.stop()
+
+    only = set(sys.argv[1:])
+    times = {}
+    for key in QUERIES:
+        if only and key not in only:
+            continue
+        out = subprocess.run(
+            [sys.executable, os.path.abspath(__file__), "--child", key, tables, sf_dir, str(cpus)],
+            capture_output=True, text=True, check=False,
+        )
+        line = next((x for x in out.stdout.splitlines() if x.startswith("BENCH_CHILD ")), None)
+        times[key] = json.loads(line[len("BENCH_CHILD "):])["sec"] if line else None
+    times["materialize_loan_tables"] = materialize
+    headline = times.get("report_fused") or next(v for v in times.values() if v is not None)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "report_fused_sec",
@@ -108,8 +138,10 @@ def main() -> None:
         "cpus": cpus,
         "plan_shape_at_scale": plans,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
-    main()
+    if len(sys.argv) > 1 and sys.argv[1] == "--child":
+        child(sys.argv[2], sys.argv[3], sys.argv[4], int(sys.argv[5]))
+    else:
+        main()
