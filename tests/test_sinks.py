@@ -89,3 +89,14 @@ def test_command_line_run(spark, sf0001, capsys):
     assert "rows: 2411" in printed
     assert sinks.read_snapshot(spark, f"{out}/snapshots", Params()).count() == 2411
     assert sinks.read_csv(spark, f"{out}/csv/2024-02-10", schemas.REPORT).count() == 2411
+
+
+def test_catalog_tables_roundtrip(spark, sf0001):
+    t = LoanTables.from_fixtures(spark, sf0001)
+    names = {n: f"arrearly_t_{n}" for n in t.as_dict()}
+    for n, df in t.as_dict().items():
+        sinks.write_table(df, names[n])
+    back = LoanTables.from_catalog(spark, names)
+    assert _same(fused.delinquency_report_fused(back, Params()), fused.delinquency_report_fused(t, Params()))
+    for name in names.values():
+        sinks.drop_table(spark, name)
