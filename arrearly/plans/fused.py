@@ -153,29 +153,38 @@ def activity_features(calls: DataFrame, bucket: DataFrame, p: Params) -> DataFra
     )
 
 
-def band_features(lm: DataFrame, p: Params) -> DataFrame:
+def band_features(lm: DataFrame, p: Params, delinquent_only: bool = False) -> DataFrame:
     """Per master account: in which DPD bands any of its rows is, and whether
-    any row is an early default (the rules test accounts, not rows)."""
+    any row is an early default (the rules test accounts, not rows).
+
+    ``delinquent_only`` keeps the accounts with a row past due (DPD > 0), the
+    only ones that can be in a segment (DPD > 20) or in the report (DPD > 0).
+    Rows that are neither past due nor an early default cannot change such an
+    account's flags, so they are dropped before the aggregation.
+    """
     d = C.dpd()
-    return (
-        lm.where(_acct().isNotNull())
-        .groupBy(KEY)
-        .agg(
-            _any(C.in_band(d, p.band_a)).alias("band_a"),
-            _any(C.in_band(d, p.band_b)).alias("band_b"),
-            _any(C.in_band(d, p.band_c)).alias("band_c"),
-            _any(C.early_default()).alias("early_default"),
-        )
+    rows = lm.where(_acct().isNotNull())
+    if delinquent_only:
+        rows = rows.where((d > 0) | F.coalesce(C.early_default(), F.lit(False)))
+    flags = rows.groupBy(KEY).agg(
+        _any(C.in_band(d, p.band_a)).alias("band_a"),
+        _any(C.in_band(d, p.band_b)).alias("band_b"),
+        _any(C.in_band(d, p.band_c)).alias("band_c"),
+        _any(C.early_default()).alias("early_default"),
+        _any(d > 0).alias("delinquent"),
     )
+    if delinquent_only:
+        flags = flags.where(F.col("delinquent"))
+    return flags.drop("delinquent")
 
 
-def account_facts(t: LoanTables, p: Params) -> DataFrame:
-    """One row per master account: segment label and the report's call and
-    installment facts. Every input is aggregated to the account once; the
-    joins below are all on the account, so they are co-partitioned and add no
-    exchange of their own."""
+def account_facts(t: LoanTables, p: Params, delinquent_only: bool = False) -> DataFrame:
+    """One row per master account (``delinquent_only``: per account with a
+    row past due): segment label and the report's call and installment facts.
+    Every input is aggregated to the account once; the joins below are all on
+    the account, so they are co-partitioned and add no exchange of their own."""
     f = (
-        band_features(t.loan_master, p)
+        band_features(t.loan_master, p, delinquent_only)
         .join(activity_features(t.calls, t.bucket_flow, p), KEY, "left")
         .join(installment_features(t.installments, p), KEY, "left")
     )
@@ -195,7 +204,7 @@ def account_facts(t: LoanTables, p: Params) -> DataFrame:
 def segment_labels(t: LoanTables, p: Params) -> DataFrame:
     """(account, label) for accounts in some segment; A before B before C."""
     return (
-        account_facts(t, p)
+        account_facts(t, p, delinquent_only=True)
         .where(F.col("Segment") != P.NO_SEGMENT_LABEL)
         .select(KEY, "Segment")
     )
@@ -206,7 +215,7 @@ def delinquency_report_fused(t: LoanTables, p: Params) -> DataFrame:
     customer; a loan without account facts (NULL account) is labelled 'NA'."""
     df = (
         LN.loans_base(t.loan_master)
-        .join(account_facts(t, p), KEY, "left")
+        .join(account_facts(t, p, delinquent_only=True), KEY, "left")
         .withColumn("Segment", F.coalesce(F.col("Segment"), F.lit(P.NO_SEGMENT_LABEL)))
     )
     return report_columns(attach_contacts(df, t.contacts))
