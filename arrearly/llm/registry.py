@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, packing, quality, token_counts
+from . import chat, decontaminate, jaccard_join, language_id, line_dedup, lm_scores, nearest, packing, quality, token_counts
 from .common import ship, table
 
 
@@ -16,11 +16,19 @@ def _of(fn: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, s
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": _of(lm_scores.contract, "documents"),
     "op2_decontaminate": _of(decontaminate.contract, "documents", "benchmark"),
+    "op3_nearest": _of(nearest.contract, "embeddings"),
     "op4_quality": _of(quality.contract, "documents", "labels"),
+    "op5_jaccard_join": _of(jaccard_join.contract, "documents"),
+    "op6_line_dedup": _of(line_dedup.contract, "documents"),
+    "op7_chat_format": _of(chat.contract, "conversations"),
     "op8_token_counts": _of(lambda docs: token_counts.section_counts(docs, rule="majority"), "documents"),
     "op9_language_id": _of(language_id.contract, "documents"),
     "op10_packing": _of(packing.contract, "documents"),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_lm_scores": lm_scores.SQL,
+    "op6_line_dedup": line_dedup.SQL,
+}

@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from arrearly.llm.common import ship  # noqa: E402
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """Documents from (doc_id, text[, lang]) rows, with columns whose names
+    operators use inside or return."""
+    ship(spark)
+
+    def make(rows, extra=True):
+        out = spark.createDataFrame([(r[0], r[1], r[2] if len(r) > 2 else "en", "s", len(r[1]) if r[1] else 0) for r in rows], DOC)
+        if extra:
+            out = out.selectExpr("*", "'x' AS n_hit", "1 AS class_id", "2 AS row", "3 AS key", "4 AS block", "'y' AS spans")
+        return out.repartition(3)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def small(spark, sf0001):
+    ship(spark)
+    return lambda name: spark.read.parquet(f"{sf0001}/{name}.parquet")
+
+
+@pytest.fixture(scope="session")
+def words():
+    """A seeded maker of invented prose."""
+    import random
+
+    def make(seed, n):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choice(["ka", "lo", "mi", "ne", "ru", "to", "sa", "ve"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+    return make

@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from arrearly.llm import decontaminate as D
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, n=10):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        size = min(n, len(w))
+        for i in range(len(w) - size + 1) if size else ():
+            windows.setdefault(tuple(w[i: i + size]), set()).add(str(item) if item is not None else "null")
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                own = windows.get(tuple(w[i: i + size]))
+                if own:
+                    hit |= set(range(i, i + size))
+                    found |= own
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_small_tables_against_brute_force(small):
+    docs, bench = small("documents"), small("benchmark")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
+    got = rows(D.contract(docs, bench))
+    assert got == sorted(want, key=repr)
+    assert any(x[5] for x in got) and not all(x[5] for x in got)
+
+
+def test_edges_on_both_paths(spark, docs_of, words):
+    item, other = words(1, 14), words(2, 12)
+    docs = [(1, f"Intro, {item.upper()}! end"), (2, None), (3, ""), (4, "... --- ..."), (None, other), (5, words(3, 30)), (5, words(3, 30)),
+            (6, "straße ÉTÉ 12"), (7, "été 12 straße"), (8, words(9, 60000) + " " + item + " " + words(10, 100)), (9, "x" * 3_000_000 + " " + item),
+            (10, " ".join(item.split()[:9])), (11, f"é {item[:-1]}"), (12, "\udcff".encode("utf-8", "replace").decode() + " " + other)]
+    items = [(7, item), (7, item), (10, other), (None, item), (2, None), (3, ""), (4, "?!"), (5, "Straße été"), (6, "straße ÉTÉ 12")]
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id")
+    want = sorted(brute(docs, items), key=repr)
+    assert rows(D.contract(docs_of(docs), bench)) == want
+    joined = D.find_hits(docs_of(docs), bench, broadcast_chars=0)
+    plain = D.find_hits(docs_of(docs), bench)
+    assert rows(joined) == rows(plain)
+    hit = {r[0] for r in want if r[5]}
+    for bound in (0, D.BROADCAST_CHARS):
+        kept = D.decontaminate(docs_of(docs), bench, "documents", broadcast_chars=bound)
+        assert kept.columns == docs_of(docs).columns
+        assert {r.doc_id for r in kept.collect()} == {d[0] for d in docs} - hit
+        cut = {r.doc_id: r.text for r in D.decontaminate(docs_of(docs), bench, "spans", broadcast_chars=bound).collect()}
+        assert cut[1] == "Intro, ! end" and cut[2] is None and cut[3] == "" and cut[None] == "" and cut[6] == ""
+        assert cut[10] == " ".join(item.split()[:9])
+
+
+def test_empty_tables(spark, docs_of):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert rows(D.contract(docs_of([(1, "a b c")]), none)) == [(1, 3, 0, 0, hashlib.sha256(b"").hexdigest(), False)]
+    assert D.contract(docs_of([(1, "a")]).limit(0), none).count() == 0
+    assert D.decontaminate(docs_of([(1, "a")]).limit(0), none).count() == 0
