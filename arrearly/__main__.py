@@ -3,8 +3,8 @@
     python -m arrearly --tables <parquet root> --as-of 2024-12-26 --out <dir> [--csv] [--table name]
     python -m arrearly --fixtures /root/testdata/sf0.01 --out <dir>
 
-Writes the report as a dated snapshot (``<out>/snapshots/as_of=<date>``),
-optionally a CSV export (``<out>/csv/<date>``) and a catalog table, and prints
+Writes the report as a dated snapshot (``<out>/snapshots/as_of=<date>``) and as
+the file dataset ``<out>/Rawdata``, optionally a CSV export (``<out>/csv/<date>``) and a catalog table, and prints
 the column profile (one row per column; the only thing that reaches the
 driver).
 """
@@ -28,7 +28,7 @@ def main(argv=None, spark=None) -> None:
     src.add_argument("--tables", help="root folder with the five Parquet tables")
     src.add_argument("--fixtures", help="driver test-table folder to derive the tables from")
     ap.add_argument("--as-of", default=None,
-                    help="run date (YYYY-MM-DD or 'today' = current UTC date); default: fixture day")
+                    help="run date (YYYY-MM-DD); default: the current date (UTC)")
     ap.add_argument("--out", required=True, help="output root")
     ap.add_argument("--csv", action="store_true", help="also export CSV")
     ap.add_argument("--table", default=None, help="also (re)create this catalog table")
@@ -37,22 +37,21 @@ def main(argv=None, spark=None) -> None:
     a = ap.parse_args(argv)
 
     spark = spark or build_session(a.master)
-    as_of = a.as_of
-    if as_of == "today":
-        as_of = dt.datetime.now(dt.timezone.utc).date()
-    p = Params.of(as_of)
+    p = Params.of(a.as_of or dt.datetime.now(dt.timezone.utc).date())
     t = LoanTables.from_parquet(spark, a.tables) if a.tables else LoanTables.from_fixtures(spark, a.fixtures)
     df = (report.delinquency_report if a.stepwise else fused.delinquency_report_fused)(t, p)
     out = a.out.rstrip("/")
     sinks.write_snapshot(df, f"{out}/snapshots", p)
     written = sinks.read_snapshot(spark, f"{out}/snapshots", p).drop("as_of")
+    sinks.write_raw_dataset(written, out)
     if a.csv:
         sinks.export_csv(sinks.for_file(written), f"{out}/csv/{p.as_of_iso}")
     if a.table:
         sinks.write_table(written, a.table)
-    for r in profile(written).orderBy("position").collect():
+    columns = profile(written).orderBy("position").collect()
+    for r in columns:
         print(f"{r['position']:>3} {r['column_name']:<28} {r['non_null']:>10} non-null  {r['data_type']}")
-    print(f"rows: {r['rows'] if r else 0}")
+    print(f"rows: {columns[0]['rows'] if columns else 0}")
 
 
 if __name__ == "__main__":

@@ -58,6 +58,12 @@ def total_overdue(principal="Overdue_Principal", interest="Overdue_Interest",
     return zero_if_null_sum(principal, interest, penalty)
 
 
+def dpd_in_band(band: tuple[int, int | None], c: str | Column = "currentDelinquency") -> Column:
+    """in_band(dpd(c), band) as a row filter. For a floor of 0 or more a missing
+    value fails either way, and on the raw column the test reaches the scan."""
+    return in_band(col(c) if band[0] >= 0 else dpd(c), band)
+
+
 # -- strings -----------------------------------------------------------------
 
 def client_name(first="firstName", middle="middleName", last="lastName") -> Column:

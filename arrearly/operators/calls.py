@@ -19,6 +19,11 @@ def queue_filter(p: Params):
     return F.col("mobileNumber").isNotNull() & F.col("campaignName").isin(list(p.queue_campaigns))
 
 
+def not_connected():
+    """connected = 0 or missing, on the raw column so that it is pushed down."""
+    return F.col("connected").isNull() | (F.col("connected") == 0)
+
+
 def queue_calls(calls: DataFrame, p: Params) -> DataFrame:
     """Queue calls whose account and phone are both known."""
     return calls.where(queue_filter(p) & _acct().isNotNull())
@@ -57,6 +62,16 @@ def refusals(calls: DataFrame, p: Params | None = None) -> DataFrame:
     )
 
 
+def unconnected_or_refused(calls: DataFrame, p: Params) -> DataFrame:
+    """The union of ``unconnected_recent`` and ``refusals`` from one scan."""
+    return key_set(
+        calls.where(
+            (F.col("connected") == 0) & F.col("mobileNumber").isNotNull() & _acct().isNotNull()
+            & (C.trailing_window("callDatetime", p.as_of, p.unconnected_days) | C.is_refusal())
+        )
+    )
+
+
 def no_contact(calls: DataFrame, p: Params) -> DataFrame:
     """Accounts with a call of a contact campaign that did not connect
     (connected 0 or missing). Connected calls do not disqualify. NULL
@@ -64,7 +79,7 @@ def no_contact(calls: DataFrame, p: Params) -> DataFrame:
     return key_set(
         calls.where(
             F.col("campaignName").isin(list(p.contact_campaigns))
-            & (F.coalesce(F.col("connected"), F.lit(0)) == 0)
+            & not_connected()
             & _acct().isNotNull()
         )
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearly.operators.windows import row_number_by_range
+from arrearly.functions import columns as C
+from arrearly.operators.windows import row_number_by_slice
 
 
 def active_contacts(contacts: DataFrame) -> DataFrame:
@@ -16,7 +17,8 @@ def active_contacts(contacts: DataFrame) -> DataFrame:
 
 def contact_rank(contacts: DataFrame) -> DataFrame:
     """Active contacts numbered per customer from the oldest change date
-    (rank 1 = oldest); ties broken by the number itself for determinism."""
-    return row_number_by_range(
-        active_contacts(contacts), "customer_id", ["change_date", "new_mobile_number"], out="rnk"
+    (rank 1 = oldest); ties broken by the number itself for determinism. A
+    customer's contacts are numbered per change day, so a hot one spreads."""
+    return row_number_by_slice(
+        active_contacts(contacts), "customer_id", C.day("change_date"), ["change_date", "new_mobile_number"], out="rnk"
     ).select("customer_id", "new_mobile_number", "change_date", "rnk")

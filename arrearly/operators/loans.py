@@ -12,7 +12,7 @@ from arrearly.params import Params
 
 def in_dpd_band(lm: DataFrame, band) -> DataFrame:
     """Loans whose DPD (missing = 0) lies in (low, high]."""
-    return lm.where(C.in_band(C.dpd(), band))
+    return lm.where(C.dpd_in_band(band))
 
 
 def band_label(p: Params):
@@ -41,7 +41,7 @@ def with_product(lm: DataFrame) -> DataFrame:
 
 def base_filter():
     """Disbursed loans that are past due."""
-    return (F.col("flagDisbursement") == 1) & (C.dpd() > 0)
+    return (F.col("flagDisbursement") == 1) & C.dpd_in_band((0, None))
 
 
 def loans_base(lm: DataFrame) -> DataFrame:

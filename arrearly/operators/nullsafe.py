@@ -37,21 +37,45 @@ def semi_any(left: DataFrame, key_sets: list[DataFrame], key: str = KEY) -> Data
     return semi(left, u.distinct(), key)
 
 
-def not_in(left: DataFrame, keys: DataFrame, key: str = KEY, keys_not_null: bool = False) -> DataFrame:
+def not_in(left: DataFrame, keys: DataFrame, key: str = KEY, keys_not_null: bool = False,
+           left_not_null: bool = False, raw: DataFrame | None = None) -> DataFrame:
     """``left WHERE key NOT IN (keys)`` with exact SQL null semantics.
 
     ``keys_not_null`` may be set when the key set filters out NULL keys
     itself (or comes from an inner join on the key); the has-NULL test is
-    then skipped.
+    then skipped. ``left_not_null`` says that ``left`` holds no NULL key; the
+    is-empty test is then skipped. ``raw`` are rows that exist if and only if the key
+    set has rows, for a set that is costly to compute: both tests read them
+    instead (they need the key column only if NULL keys can occur).
     """
     k = F.col(key)
     kept = left.join(keys.select(key).where(k.isNotNull()), key, "left_anti")
-    cond = k.isNotNull() | ~keys.exists()
+    if left_not_null and keys_not_null:
+        return kept
+    keys = keys if raw is None else raw
+    cond = F.lit(True) if left_not_null else k.isNotNull() | ~keys.exists()
     if not keys_not_null:
         cond = cond & ~keys.where(k.isNull()).exists()
     return kept.where(cond)
 
 
+def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key`` in which rows with a NULL key go around the join:
+    they match nothing, and hashed by the key all of them would land in one task."""
+    known = left.where(F.col(key).isNotNull()).join(right, key, "left")
+    return known.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread_by: str, ways: int = 256) -> DataFrame:
+    """Left join on ``key`` in which rows with a NULL key, which match nothing,
+    are dealt over ``ways`` values instead of one. For a ``left`` that is costly
+    to read twice, and sides that are both shuffled for the join."""
+    way = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(ways))).otherwise(F.lit(0).cast("bigint"))
+    # Always 0 on the right; written so that the optimizer keeps it as a join key.
+    zero = F.pmod(F.xxhash64(key), F.lit(1).cast("bigint"))
+    return left.withColumn("_way", way).join(right.withColumn("_way", zero), [key, "_way"], "left").drop("_way")
+
+
 def mark(left: DataFrame, labelled: list[tuple[DataFrame, str]], out: str, default: str,
          key: str = KEY) -> DataFrame:
     """``CASE WHEN key IN (S1) THEN l1 WHEN key IN (S2) THEN l2 ... ELSE default``.

@@ -1,39 +1,32 @@
 """Per-group row numbering that does not put a hot group into one task.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` hash-partitions on ``g``:
-a group holding a third of the rows becomes one straggler task. Here the
-rows are range-partitioned on ``(g, o...)`` instead, so a large group spans
-several partitions; each partition numbers its rows locally, and a small
-table of per-(partition, group) counts gives each slice its offset.
+a group holding a third of the rows becomes one straggler task. Here a group
+is cut into slices that follow the order (such as days): rows are numbered
+within (group, slice), and a table of counts per (group, slice), summed up over
+the slices before, gives each slice its offset. The numbers depend on the
+rows alone, not on how they are partitioned.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_number_by_range(df: DataFrame, group: str, order: list[str], out: str = "rnk",
-                        num_partitions: int | None = None) -> DataFrame:
+def row_number_by_slice(df: DataFrame, group: str, slice_by: Column, order: list[str], out: str = "rnk") -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``group`` by
-    ``order`` (ascending; the order columns should make rows unique)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [group, *order]
-    ranged = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("_pid", F.spark_partition_id())
-        # consecutive within a partition: (partition index << 33) + position
-        .withColumn("_pos", F.monotonically_increasing_id())
-    )
-    slices = ranged.groupBy("_pid", group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
-        "_pid", group, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
+    ``order`` (ascending, NULLs first; the order columns should make rows
+    unique). ``slice_by`` must not fall along the order. A NULL group is a
+    group, and a NULL slice the first of its group."""
+    own = df.withColumn("_slice", slice_by)
+    counts = own.groupBy(F.col(group).alias("_group"), F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_group", "_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col("_slice").eqNullSafe(F.col("_of"))
     return (
-        ranged.join(offsets, ["_pid", group], "inner")
-        .withColumn(out, (F.col("_pos") - F.col("_first") + F.col("_offset") + 1).cast("bigint"))
-        .drop("_pid", "_pos", "_first", "_offset")
+        own.withColumn("_within", within).join(offsets, same)
+        .withColumn(out, (F.col("_within") + F.col("_offset")).cast("bigint"))
+        .drop("_slice", "_within", "_group", "_of", "_offset")
     )

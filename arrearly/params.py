@@ -143,15 +143,15 @@ PRODUCT_SIL_ONLINE = "SIL-Online"
 PRODUCT_QL_FLEX = "QL FLEX"
 PRODUCT_QL_BO = "QL BO"
 
-# Default run date of the deterministic test fixtures.
-DEFAULT_AS_OF = dt.date(2024, 2, 10)
+# Run date of the deterministic test fixtures; real runs pass their own.
+FIXTURE_AS_OF = dt.date(2024, 2, 10)
 
 
 @dataclass(frozen=True)
 class Params:
     """Everything a run depends on besides the five input tables."""
 
-    as_of: dt.date = DEFAULT_AS_OF
+    as_of: dt.date
     # DPD bands, (low, high]: a loan is in a band when low < dpd <= high.
     band_a: tuple[int, int | None] = (20, 60)
     band_b: tuple[int, int | None] = (60, 90)
@@ -169,9 +169,7 @@ class Params:
     contact_campaigns: tuple[str, ...] = CONTACT_CAMPAIGNS
 
     @staticmethod
-    def of(as_of: str | dt.date | None = None, **kw) -> "Params":
-        if as_of is None:
-            return Params(**kw)
+    def of(as_of: str | dt.date, **kw) -> "Params":
         if isinstance(as_of, str):
             as_of = dt.date.fromisoformat(as_of)
         return Params(as_of=as_of, **kw)

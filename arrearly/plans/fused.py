@@ -36,11 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrearly import params as P
+from arrearly import schemas
 from arrearly.functions import columns as C
 from arrearly.operators import calls as CL
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
-from arrearly.operators.nullsafe import KEY
+from arrearly.operators.nullsafe import KEY, left_join_known
 from arrearly.params import Params
 from arrearly.plans.report import attach_contacts, report_columns
 from arrearly.sources.tables import LoanTables
@@ -66,8 +67,10 @@ def call_days(calls: DataFrame, p: Params) -> DataFrame:
     unconnected = F.col("connected") == 0
     promise = queue & F.col("PTP_Date").isNotNull()
     upto = F.col("PTP_Date") < F.lit(p.as_of + dt.timedelta(days=1))
+    campaigns = [*p.queue_campaigns, *(c for c in p.contact_campaigns if c not in p.queue_campaigns)]
+    of_use = F.col("campaignName").isin(campaigns) | (unconnected & mobile)  # no rule reads other calls
     return (
-        calls.where(_acct().isNotNull())
+        calls.where(_acct().isNotNull() & of_use)
         .groupBy(KEY, C.day("callDatetime").alias("day"))
         .agg(
             _any(queue & (F.col("PTP_Kept") == 1)
@@ -76,7 +79,7 @@ def call_days(calls: DataFrame, p: Params) -> DataFrame:
                  & C.trailing_window("callDatetime", p.as_of, p.unconnected_days)).alias("unconnected_recent"),
             _any(unconnected & mobile & C.is_refusal()).alias("refusal"),
             _any(F.col("campaignName").isin(list(p.contact_campaigns))
-                 & (F.coalesce(F.col("connected"), F.lit(0)) == 0)).alias("no_contact"),
+                 & CL.not_connected()).alias("no_contact"),
             F.max(F.when(queue & (C.rpc() == 1), C.day("callDatetime"))).alias("lastrpcdate"),
             F.max(F.when(promise, F.col("PTP_Date"))).alias("lastptpdate"),
             F.max(F.when(promise & upto, C.day("PTP_Date"))).alias("last_promise_upto"),
@@ -90,11 +93,12 @@ def installment_features(inst: DataFrame, p: Params) -> DataFrame:
     not_partial = (
         F.coalesce(F.col("directDebitStatus"), F.lit("NA")) != F.lit(P.PARTIAL_PAYMENT_STATUS)
     ).cast("int")
+    paid = C.trailing_window_with_sentinel("lastPaymentDate", p.as_of, p.paid_days)
     return (
-        inst.where(_acct().isNotNull())
+        inst.where(_acct().isNotNull() & (due | paid | (F.col("isCurrentDelinquent") == 1)))
         .groupBy(KEY)
         .agg(
-            _any(C.trailing_window_with_sentinel("lastPaymentDate", p.as_of, p.paid_days)).alias("paid_recently"),
+            _any(paid).alias("paid_recently"),
             F.max(F.when(due, F.col("installmentNumber"))).alias("_maxnum"),
             F.max(F.when(due, IN.latest_row_rank(F.col("installmentDueDate"), F.col("installmentNumber"),
                                                  not_partial))).alias("_top"),
@@ -165,7 +169,7 @@ def band_features(lm: DataFrame, p: Params, delinquent_only: bool = False) -> Da
     d = C.dpd()
     rows = lm.where(_acct().isNotNull())
     if delinquent_only:
-        rows = rows.where((d > 0) | F.coalesce(C.early_default(), F.lit(False)))
+        rows = rows.where(C.dpd_in_band((0, None)) | C.early_default())
     flags = rows.groupBy(KEY).agg(
         _any(C.in_band(d, p.band_a)).alias("band_a"),
         _any(C.in_band(d, p.band_b)).alias("band_b"),
@@ -214,8 +218,12 @@ def delinquency_report_fused(t: LoanTables, p: Params) -> DataFrame:
     """Report rows = base loans (one per loan) x active contacts of the
     customer; a loan without account facts (NULL account) is labelled 'NA'."""
     df = (
-        LN.loans_base(t.loan_master)
-        .join(account_facts(t, p, delinquent_only=True), KEY, "left")
+        left_join_known(LN.loans_base(t.loan_master), account_facts(t, p, delinquent_only=True), KEY)
         .withColumn("Segment", F.coalesce(F.col("Segment"), F.lit(P.NO_SEGMENT_LABEL)))
     )
     return report_columns(attach_contacts(df, t.contacts))
+
+
+def delinquency_report_v0(t: LoanTables, p: Params) -> DataFrame:
+    """The first report version: the same rows without ``loanPaidStatus``."""
+    return delinquency_report_fused(t, p).select(*schemas.REPORT_V0_COLUMNS)

@@ -19,9 +19,9 @@ from arrearly.operators import contacts as CT
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators import segments as SG
-from arrearly.operators.nullsafe import KEY, key_set, not_in, semi, semi_any
+from arrearly.operators.nullsafe import KEY, key_set, not_in, semi
 from arrearly.operators.profile import profile
-from arrearly.params import Params
+from arrearly.params import FIXTURE_AS_OF, Params
 from arrearly.plans import fused, report
 from arrearly.plans.oracle import PRODUCT_SQL, with_rules
 from arrearly.session import scratch_path
@@ -29,7 +29,7 @@ from arrearly.sources import sinks
 from arrearly.sources.tables import LoanTables
 
 Query = Callable[[SparkSession, str], DataFrame]
-P0 = Params()
+P0 = Params.of(FIXTURE_AS_OF)
 
 
 def _t(spark: SparkSession, sf_dir: str) -> LoanTables:
@@ -43,11 +43,34 @@ def _q(fn) -> Query:
 
 # -- sinks: write the report, read it back ------------------------------------
 
+NULL_MARK = "\\N"
+
+# Text that a CSV can break, by customer: blanks at the ends, quote and separator,
+# line end, backslash, the empty string. Written the same in Spark and SQL.
+AWKWARD_PROVINCE = """CASE customerId % 6
+  WHEN 0 THEN concat('  ', province, ' ')
+  WHEN 1 THEN concat('"', province, '", x')
+  WHEN 2 THEN concat(province, chr(10), 'line two')
+  WHEN 3 THEN concat(chr(92), province, chr(92))
+  WHEN 4 THEN substr(province, 1, 0) ELSE province END"""
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = report.delinquency_report(_t(spark, sf_dir), P0)
+    df = fused.delinquency_report_fused(_t(spark, sf_dir), P0).withColumn("province", F.expr(AWKWARD_PROVINCE))
     path = scratch_path(spark, "report-csv")
-    sinks.export_csv(df, path)
-    return sinks.read_csv(spark, path, schemas.REPORT)
+    sinks.export_csv(sinks.for_file(df), path, null_value=NULL_MARK)
+    return sinks.read_csv(spark, path, schemas.REPORT, null_value=NULL_MARK)
+
+
+def _table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The script flow: drop the table, create it, export from the table."""
+    path = scratch_path(spark, "report-table")
+    name = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    sinks.drop_table(spark, name)
+    sinks.write_table(fused.delinquency_report_fused(_t(spark, sf_dir), P0), name)
+    sinks.export_csv(sinks.for_file(spark.table(name)), path, null_value=NULL_MARK)
+    sinks.drop_table(spark, name)
+    return sinks.read_csv(spark, path, schemas.REPORT, null_value=NULL_MARK)
 
 
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +116,7 @@ QUERIES: dict[str, Query] = {
     "scalar_null_math": _q(lambda t, p: t.loan_master.select(
         KEY, C.dpd().alias("dpd"), C.total_overdue().alias("total_overdue_amount"),
         C.total_outstanding().alias("total_outstanding_amount"))),
-    "account_key_text": _q(lambda t, p: t.loan_master.select(
+    "account_key_text": _q(lambda t, p: t.loan_master.select(KEY).unionByName(t.calls.select(KEY)).select(
         KEY, C.key_text(KEY).alias("account_text"), C.key_text_file(KEY).alias("account_file_text"))),
     # calls
     "queue_calls": _q(lambda t, p: CL.queue_calls(t.calls, p).select(
@@ -124,9 +147,8 @@ QUERIES: dict[str, Query] = {
     # membership joins
     "semi_early_default": _q(lambda t, p: semi(LN.in_dpd_band(t.loan_master, p.band_a),
                                                LN.early_default_loans(t.loan_master)).select(KEY)),
-    "no_contact_or_refusal": _q(lambda t, p: semi_any(
-        LN.in_dpd_band(t.loan_master, p.band_b),
-        [CL.unconnected_recent(t.calls, p), CL.refusals(t.calls, p)]).select(KEY)),
+    "no_contact_or_refusal": _q(lambda t, p: semi(
+        LN.in_dpd_band(t.loan_master, p.band_b), CL.unconnected_or_refused(t.calls, p)).select(KEY)),
     "anti_paid_60d": _q(lambda t, p: not_in(LN.in_dpd_band(t.loan_master, p.band_c),
                                             IN.paid_recently(t.installments, p)).select(KEY)),
     "null_aware_anti": _q(lambda t, p: not_in(key_set(t.calls), IN.paid_recently(t.installments, p))),
@@ -141,13 +163,15 @@ QUERIES: dict[str, Query] = {
                               .select(KEY, F.coalesce("Segment", F.lit("NA")).alias("Segment"))),
     "account_facts": _q(fused.account_facts),
     "early_dpd_attempts": _q(lambda t, p: BK.early_dpd_attempts(t.calls, t.bucket_flow, p)),
-    "delinquency_report": _q(report.delinquency_report),
+    "delinquency_report": _q(fused.delinquency_report_fused),
+    "delinquency_report_stepwise": _q(report.delinquency_report),
     "delinquency_report_fused": _q(fused.delinquency_report_fused),
-    "delinquency_report_v0": _q(report.delinquency_report_v0),
+    "delinquency_report_v0": _q(fused.delinquency_report_v0),
     "profile_report": _q(lambda t, p: profile(fused.delinquency_report_fused(t, p))),
     # sinks
     "sink_csv_roundtrip": _csv_roundtrip,
     "sink_parquet_roundtrip": _parquet_roundtrip,
+    "sink_table_roundtrip": _table_roundtrip,
     "snapshot_by_as_of": _snapshot,
 }
 
@@ -164,6 +188,14 @@ def _profile_sql() -> str:
 
 _REPORT_COLS = ", ".join(schemas.REPORT_COLUMNS)
 _REPORT_V0_COLS = ", ".join(schemas.REPORT_V0_COLUMNS)
+
+
+def _file_columns(new: dict[str, str]) -> str:
+    """The report's columns as files have them: a missing account is 'None'."""
+    new = {"loanAccountNumber": "coalesce(loanAccountNumber, 'None')"} | new
+    return ", ".join(f"{new[c]} AS {c}" if c in new else c for c in schemas.REPORT_COLUMNS)
+
+
 _SELECTS: dict[str, str] = {
     "src_loan_master": "SELECT * FROM loan_master",
     "src_calls": "SELECT * FROM calls",
@@ -188,7 +220,8 @@ _SELECTS: dict[str, str] = {
           AS total_outstanding_amount
         FROM loan_master""",
     "account_key_text": "SELECT loanAccountNumber, CAST(loanAccountNumber AS VARCHAR) AS account_text, "
-                        "coalesce(CAST(loanAccountNumber AS VARCHAR), 'None') AS account_file_text FROM loan_master",
+                        "coalesce(CAST(loanAccountNumber AS VARCHAR), 'None') AS account_file_text FROM "
+                        "(SELECT loanAccountNumber FROM loan_master UNION ALL SELECT loanAccountNumber FROM calls)",
     "queue_calls": "SELECT customerId, loanAccountNumber, mobileNumber, campaignName, callDatetime FROM qcalls",
     "disposition_tags": "SELECT customerId, loanAccountNumber, callDatetime, campaignName, genesysWrapupDisposition, "
                         "APC, RPC, TPC FROM tags",
@@ -251,10 +284,12 @@ _SELECTS: dict[str, str] = {
     "early_dpd_attempts": "SELECT * FROM attempts",
     "delinquency_report": f"SELECT {_REPORT_COLS} FROM report",
     "delinquency_report_fused": f"SELECT {_REPORT_COLS} FROM report",
+    "delinquency_report_stepwise": f"SELECT {_REPORT_COLS} FROM report",
     "delinquency_report_v0": f"SELECT {_REPORT_V0_COLS} FROM report",
     "profile_report": _profile_sql(),
-    "sink_csv_roundtrip": f"SELECT {_REPORT_COLS} FROM report",
-    "sink_parquet_roundtrip": f"SELECT {_REPORT_COLS} FROM report",
+    "sink_csv_roundtrip": f"SELECT {_file_columns({'province': AWKWARD_PROVINCE})} FROM report",
+    "sink_parquet_roundtrip": f"SELECT {_file_columns({})} FROM report",
+    "sink_table_roundtrip": f"SELECT {_file_columns({})} FROM report",
     "snapshot_by_as_of": f"SELECT {_REPORT_COLS}, DATE '{P0.as_of_iso}' AS as_of FROM report",
 }
 

@@ -12,7 +12,7 @@ from arrearly.operators import contacts as CT
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators import segments as SG
-from arrearly.operators.nullsafe import KEY
+from arrearly.operators.nullsafe import KEY, left_join_known, left_join_spread
 from arrearly.params import Params
 from arrearly.sources.tables import LoanTables
 
@@ -35,17 +35,18 @@ def report_columns(df: DataFrame) -> DataFrame:
 def attach_contacts(df: DataFrame, contacts: DataFrame) -> DataFrame:
     """Left join of every active contact of the loan's customer: a customer
     with n active contacts yields n rows per loan (none: one row)."""
-    cd = CT.active_contacts(contacts).select("customer_id", "new_mobile_number")
-    return df.join(cd, df["customerId"] == cd["customer_id"], "left").drop("customer_id")
+    cd = CT.active_contacts(contacts).select(F.col("customer_id").alias("customerId"), "new_mobile_number")
+    return left_join_spread(df, cd, "customerId", KEY)
 
 
 def delinquency_report(t: LoanTables, p: Params) -> DataFrame:
     base = LN.loans_base(t.loan_master)
     a, b, c = SG.segment_keys(t, p)
     df = SG.label_segment(base, a, b, c)
-    df = df.join(IN.min_unpaid_installment(t.installments).where(F.col(KEY).isNotNull()), KEY, "left")
-    df = df.join(CL.last_rpc(t.calls, p).select(KEY, "lastrpcdate"), KEY, "left")
-    df = df.join(CL.last_ptp(t.calls, p), KEY, "left")
+    facts = IN.min_unpaid_installment(t.installments).where(F.col(KEY).isNotNull())
+    for more in (CL.last_rpc(t.calls, p).select(KEY, "lastrpcdate"), CL.last_ptp(t.calls, p)):
+        facts = facts.join(more, KEY, "full")
+    df = left_join_known(df, facts, KEY)
     return report_columns(attach_contacts(df, t.contacts))
 
 

@@ -38,6 +38,10 @@ BUCKET_FLOW = _struct(("loanAccountNumber", _L), ("bucketDate", _DT), ("Max_curr
 
 CONTACTS = _struct(("customer_id", _L), ("new_mobile_number", _L), ("change_date", _TS), ("ACTIVE", _S))
 
+# Money columns: double or decimal, as the source has them.
+MONEY = ("Overdue_Principal", "Overdue_Interest", "Overdue_Penalty", "outstandingBalance",
+         "Total_Outstanding_Principal", "Total_Outstanding_Interest", "Total_Outstanding_Penalty")
+
 SCHEMAS = {
     "loan_master": LOAN_MASTER,
     "installments": INSTALLMENTS,

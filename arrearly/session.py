@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,10 +40,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables: the session's
-    checkpoint directory. Only when none is configured (local runs, tests) is
-    a fresh scratch folder created and registered."""
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    checkpoint directory. Where none is configured, a local run (one process)
+    gets a scratch folder of its own, and a cluster an error: its executors
+    would each write to their own disk."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("no shared folder: set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="arrearly-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

@@ -26,23 +26,31 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _csv_options(header: bool, sep: str, null_value: str) -> dict:
+    """Options of both directions: quotes are doubled, blanks are kept."""
+    return {"header": header, "sep": sep, "nullValue": null_value, "quote": '"', "escape": '"',
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", null_value: str = "") -> None:
     """Sharded CSV export (one file per partition), overwriting ``path``.
 
+    Quotes inside a value are doubled, blanks at its ends stay, and a value
+    with a separator, quote or line end is quoted, as other tools read it.
     By default a NULL is written as an empty field, like the spreadsheet-style
     export; empty strings are quoted (``""``). Spark's reader maps both back
     to NULL unless a distinct ``null_value`` marker (e.g. ``\\N``) is used on
     both sides, which makes the round trip lossless.
     """
-    (df.write.mode("overwrite").option("header", header).option("sep", sep)
-     .option("nullValue", null_value).csv(path))
+    df.write.mode("overwrite").options(**_csv_options(header, sep, null_value)).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ",",
              null_value: str = "") -> DataFrame:
-    """Read an export back with its fixed schema (no inference)."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("nullValue", null_value).csv(path))
+    """Read an export back with its fixed schema (no inference). Values may
+    hold line ends, so a file is read by one task: keep exports sharded."""
+    options = _csv_options(header, sep, null_value) | {"multiLine": True, "lineSep": "\n"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -55,31 +63,24 @@ def for_file(df: DataFrame, key: str = "loanAccountNumber") -> DataFrame:
     return df.withColumn(key, C.key_text_file(key))
 
 
-def write_raw_dataset(df: DataFrame, root: str, fmt: str = "parquet") -> str:
-    """The raw report rows under ``<root>/Rawdata`` (the sheet name of the
-    spreadsheet export, kept as a dataset name)."""
+def write_raw_dataset(df: DataFrame, root: str) -> str:
+    """The report in its file form under ``<root>/Rawdata`` (the sheet name of
+    the spreadsheet export, kept as a dataset name)."""
     path = f"{root.rstrip('/')}/{RAW_SHEET}"
-    df.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    write_parquet(for_file(df), path)
     return path
 
 
-def write_snapshot(df: DataFrame, root: str, p: Params, fmt: str = "parquet") -> None:
-    """One dated output per run: rows tagged with the run date and written to
-    partition ``as_of=<date>``. Dynamic partition overwrite replaces only that
-    run's partition, so re-running a date is idempotent and other dates stay."""
-    (
-        df.withColumn("as_of", F.lit(p.as_of))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("as_of")
-        .format(fmt)
-        .save(root)
-    )
+def write_snapshot(df: DataFrame, root: str, p: Params) -> None:
+    """One dated output per run: the folder ``as_of=<date>`` is replaced as a
+    whole, so re-running a date is idempotent (also with no rows at all) and
+    other dates stay."""
+    write_parquet(df, f"{root.rstrip('/')}/as_of={p.as_of_iso}")
 
 
-def read_snapshot(spark: SparkSession, root: str, p: Params | None = None, fmt: str = "parquet") -> DataFrame:
+def read_snapshot(spark: SparkSession, root: str, p: Params | None = None) -> DataFrame:
     """All snapshots, or one run date (pruned to its partition)."""
-    df = spark.read.format(fmt).load(root)
+    df = spark.read.parquet(root)
     if p is not None:
         df = df.where(F.col("as_of") == F.lit(p.as_of))
     return df

@@ -4,7 +4,7 @@ Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 and prints one JSON line.
 
 * The five loan tables are derived once from the driver tables and written as
-  Parquet, one file per core (as multi-file warehouse tables would exist).
+  Parquet under $BENCH_SCRATCH (default /tmp), one file per core (as multi-file warehouse tables would exist).
 * Each headline query then runs in its own Spark application (a child
   process with its own JVM), as the periodic report runs in production:
   three warm-up runs, then three timed runs, median reported. Mixing
@@ -19,16 +19,16 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import statistics
 import subprocess
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from arrearly.operators import segments as SG  # noqa: E402
-from arrearly.params import Params  # noqa: E402
+from arrearly.params import FIXTURE_AS_OF, Params  # noqa: E402
 from arrearly.plans import fused, report  # noqa: E402
 from arrearly.session import build_session  # noqa: E402
 from arrearly.sources.tables import LoanTables  # noqa: E402
@@ -63,25 +63,22 @@ def _plan_shape(spark, build) -> dict:
     for k in keys:
         spark.conf.set(k, "-1")
     try:
-        plan = build()._jdf.queryExecution().executedPlan().toString()
+        plan = spark._jvm.PythonSQLUtils.explainString(build()._jdf.queryExecution(), "formatted")
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    lines = plan.splitlines()
-    return {
-        "scans": sum("Scan parquet" in x for x in lines),
-        "exchanges": sum(("Exchange" in x) and ("BroadcastExchange" not in x) and ("Reused" not in x)
-                         for x in lines),
-    }
+    # Each node is described once, under its number, however often the tree shows it.
+    nodes = re.findall(r"^\(\d+\) (.*)$", plan, re.M)
+    return {"scans": sum(x.startswith("Scan parquet") for x in nodes), "exchanges": sum(x.startswith("Exchange") for x in nodes)}
 
 
 def child(key: str, tables: str, sf_dir: str, cpus: int, warmups: int = 3, reps: int = 3) -> None:
     """Time one query in this process's own Spark application."""
     spark = _session(cpus)
-    p = Params()
+    p = Params.of(FIXTURE_AS_OF)
     t = LoanTables.from_parquet(spark, tables)
     d = LoanTables.from_fixtures(spark, sf_dir)
     df = QUERIES[key](t, d, p)
@@ -101,8 +98,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = _session(cpus)
-    p = Params()
-    scratch = tempfile.mkdtemp(prefix="arrearly-bench-")
+    p = Params.of(FIXTURE_AS_OF)
+    scratch = os.path.join(os.environ.get("BENCH_SCRATCH", "/tmp"), f"arrearly-bench-{os.getpid()}")  # one machine
     tables = f"{scratch}/tables"
 
     t0 = time.perf_counter()

@@ -1,0 +1,131 @@
+"""The rules' fixed values, stated here once more: the engine and its SQL oracle
+share one list each, so a slip in it would pass every comparison."""
+
+from __future__ import annotations
+
+from arrearly import params as P
+
+# Fixed values, in rule order.
+QUEUE = [
+    "PROD_Pre-Collections",
+    "Special_Pre-Collections",
+    "PROD_Hard Collections",
+    "Special Campaign_Hard Collections",
+    "PROD_Soft Collections_Daily",
+    "Special Campaign_Soft Collections",
+    "SIP_Prod_Reminder",
+    "Collection HaRD PTPr",
+    "Collection Hard BROKEN PTP",
+    "Collections_Soft PTPr",
+]
+CONTACT = [
+    "WCL MARCH 3",
+    "WCL FINAL SPIN 2",
+    "WCL PART 2 2072022",
+    "SIP_Pre-Collections",
+    "Testing_Collections",
+    "PROD_Pre-Collections",
+    "Collections_Soft PTPr",
+    "OB WCL July 18 Spin 2",
+    "OB WCL July 18 Spin 3",
+    "OB WCL July 26 spin 3",
+    "OB WCL Spin 1 July 18",
+    "PROD_Hard Collections",
+    "WCL 2 - Feb 21 Spin 2",
+    "Special_HaRD_Collection",
+    "WCL 2 - 1st Spin Feb 24",
+    "WCL 3rd Attempt 1302022",
+    "WCL FEB 18 to 20 Spin 2",
+    "WCL - 1st Attempt 222022",
+    "WCL - 1st Attempt 282022",
+    "WCL - 1st attempt 212022",
+    "WCL 2 - FEB 22 - 3RD SPIN",
+    "WCL 2 Feb 24 to 27 SPIN 3",
+    "Collection Hard BROKEN PTP",
+    "PROD_Soft Collections_Daily",
+    "Collections_Possible Fraud.2",
+    "FEB 16 - SPIN 1 - WCL Skill 2",
+    "Special Campaign_WCL_Collection",
+    "Special Campaign_Pre Collections",
+    "Collections-Daily Outbound_Manual",
+    "Collections_Special_Pre-Col_May30",
+    "Collections_normalization special",
+    "Special Campaign_Hard Collections",
+    "Special Campaign_Soft Collections",
+    "Tonik Agentless -Collection",
+    "WCL 2 - FEB 22 - SPIN 3",
+    "WCL - 1st Attempt 1302022",
+    "WCL - 2nd Attempt 1302022",
+    "WCL Skill 2 - Feb 11 - 1st Spin",
+    "WCL 2 Spin 3 2192022",
+    "WCL 2nd attempt 212022",
+    "WCL 2 - 2nd SPIN Feb 24",
+    "WCL - 3rd attempt 282022",
+    "FEB 16 - WCL 2 - 3rd Spin",
+    "WCL 2 - 1ST SPIN - FEB 22",
+    "WCL 2 - 3rd SPIN - FEB 23",
+    "WCL 2 - FEB 17 - 2nd Spin",
+    "WCL 2 - FEB 18 - 1ST SPIN",
+    "WCL SKill 2 - feb 10 - 3rd spin",
+    "WCL Skill 2 - 2nd Spin - Feb 23",
+    "WCL 2nd Attempt -222022",
+    "WCL 2 - FEB 24 - 3rd SPIN",
+    "WCL SKILL 2 - FEB 10 2022 - 2nd SPIN",
+    "Collection HaRD PTPr",
+]
+APC = [
+    "%COLLECTION%",
+    "%DELAY%",
+    "%DUE%",
+    "PAYMENT%",
+    "%WRAP%",
+    "%HANG%",
+    "%PROMISE%",
+    "%PTP REMINDER%",
+    "%UNSUCCESSFUL%",
+    "%CALL%",
+    "%PROMISE TO PAY%",
+    "%DROP CALL%",
+    "%PAID%",
+    "%DEAD AIR%",
+    "%3RD PARTY%",
+]
+RPC = [
+    "%COLLECTION%",
+    "%DELAY%",
+    "%DUE%",
+    "%HANG%",
+    "PAYMENT%",
+    "%PROMISE%",
+    "%PTP REMINDER%",
+    "%CALL BACK%",
+    "%PROMISE TO PAY%",
+    "%DROP CALL%",
+    "%PAID%",
+]
+TPC = [
+    "%3RD PARTY%",
+    "%UNSUCCESSFUL%",
+    "%DEAD AIR%",
+]
+
+
+def _like(patterns):
+    return [f"{'' if kind == 'prefix' else '%'}{text}%" for kind, text in patterns]
+
+
+def test_campaigns():
+    assert list(P.QUEUE_CAMPAIGNS) == QUEUE and len(QUEUE) == 10
+    assert list(P.CONTACT_CAMPAIGNS) == CONTACT and len(CONTACT) == 53
+
+
+def test_disposition_patterns():
+    assert _like(P.APC_PATTERNS) == APC and len(APC) == 15
+    assert _like(P.RPC_PATTERNS) == RPC and len(RPC) == 11
+    assert _like(P.TPC_PATTERNS) == TPC and len(TPC) == 3
+
+
+def test_other_values():
+    assert (P.REFUSAL_TEXT, P.PARTIAL_PAYMENT_STATUS, P.NO_PAYMENT_SENTINEL) == ("refuse", "PARTIALPAYMENT", "3000-01-01")
+    assert list(P.SEGMENT_LABELS) == ["Segment A", "Segment B", "Segment C"] and P.NO_SEGMENT_LABEL == "NA"
+    assert [P.PRODUCT_SIL, P.PRODUCT_SIL_ONLINE, P.PRODUCT_QL_FLEX, P.PRODUCT_QL_BO] == ["SIL", "SIL-Online", "QL FLEX", "QL BO"]

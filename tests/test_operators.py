@@ -1,4 +1,4 @@
-"""Operator-level properties: skew-safe row numbering, latest-row rank, profile,
+"""Operator-level properties: row numbering of hot groups, latest-row rank, profile,
 report structure."""
 
 from __future__ import annotations
@@ -12,25 +12,39 @@ from arrearly.operators import contacts as CT
 from arrearly.operators import installments as IN
 from arrearly.operators.nullsafe import KEY
 from arrearly.operators.profile import profile
-from arrearly.operators.windows import row_number_by_range
-from arrearly.params import Params
+from arrearly.operators.windows import row_number_by_slice
+from arrearly.params import FIXTURE_AS_OF, Params
 from arrearly.plans import fused
 from arrearly.sources.tables import LoanTables
 
 
-def test_row_number_by_range_equals_window_on_a_hot_group(spark):
-    # group 0 holds half of the rows; range partitioning splits it over tasks
-    df = spark.range(0, 4000).select(
-        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
-        ((F.col("id") * 7919) % 4001).alias("o"),
-    )
-    got = row_number_by_range(df, "g", ["o"], out="rn", num_partitions=6)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("bigint"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # the hot group really is spread over several partitions
-    parts = (df.repartitionByRange(6, "g", "o").where("g = 0")
-             .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert parts > 1
+def test_row_number_by_slice_equals_window_on_a_hot_group(spark):
+    # 2M rows, one group with a third of them, NULL groups and slices, a carried column, no reuse of exchanges
+    n = 2_000_000
+    df = spark.range(0, n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 97 == 1, F.lit(None)).otherwise(F.col("id") % 5003).alias("g"),
+        F.when(F.col("id") % 1009 != 5, (F.col("id") * 7919) % n).alias("o"), F.col("id").alias("tie"),
+        F.concat(F.lit("carried "), F.col("id")).alias("more"))
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o", "tie")).cast("bigint"))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = row_number_by_slice(df, "g", F.floor(F.col("o") / 1000), ["o", "tie"], out="rn")
+        wrong = got.join(want.select("tie", F.col("rn").alias("wanted")), "tie", "full").where("rn IS NULL OR wanted IS NULL OR rn <> wanted")
+        assert got.columns == want.columns and wrong.count() == 0 and got.count() == n
+        plan = got._jdf.queryExecution().toString()
+        assert "spark_partition_id" not in plan and "monotonically_increasing_id" not in plan
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_contact_rank_keeps_contacts_without_customer(spark):
+    from conftest import tables, ts
+
+    rows = [dict(customer_id=c, new_mobile_number=m, change_date=d and ts(d), ACTIVE="Y") for c, m, d in (
+        (None, 1, "2024-01-02 00:00:00"), (None, 2, "2024-01-01 09:00:00"), (5, 4, None), (5, 3, "2024-01-01 08:00:00"), (5, 9, "2024-01-01 07:00:00"))]
+    got = {(r.customer_id, r.new_mobile_number): r.rnk for r in CT.contact_rank(tables(spark, contacts=rows).contacts).collect()}
+    assert got == {(None, 2): 1, (None, 1): 2, (5, 4): 1, (5, 9): 2, (5, 3): 3}
 
 
 def test_contact_rank_oldest_first(spark, sf0001):
@@ -56,7 +70,7 @@ def test_latest_row_rank_orders_like_the_tuple(spark):
 
 def test_profile_counts_non_null(spark, sf0001):
     t = LoanTables.from_fixtures(spark, sf0001)
-    rep = fused.delinquency_report_fused(t, Params())
+    rep = fused.delinquency_report_fused(t, Params.of(FIXTURE_AS_OF))
     prof = {r["column_name"]: r for r in profile(rep).collect()}
     n = rep.count()
     assert len(prof) == 20 and all(r["rows"] == n for r in prof.values())
@@ -67,7 +81,7 @@ def test_profile_counts_non_null(spark, sf0001):
 
 def test_report_rows_equal_loans_times_active_contacts(spark, sf0001):
     t = LoanTables.from_fixtures(spark, sf0001)
-    rep = fused.delinquency_report_fused(t, Params())
+    rep = fused.delinquency_report_fused(t, Params.of(FIXTURE_AS_OF))
     from arrearly.operators import loans as LN
 
     per_customer = t.contacts.where("ACTIVE = 'Y'").groupBy(F.col("customer_id").alias("customerId")).count()
@@ -81,7 +95,7 @@ def test_segments_are_disjoint_and_prioritised(spark, sf0001):
     from arrearly.operators import segments as SG
 
     t = LoanTables.from_fixtures(spark, sf0001)
-    p = Params()
+    p = Params.of(FIXTURE_AS_OF)
     a, b, c = SG.segment_keys(t, p)
     labels = {r[KEY]: r["Segment"] for r in fused.segment_labels(t, p).collect()}
     for keyset, name in ((c, "Segment C"), (b, "Segment B"), (a, "Segment A")):

@@ -3,17 +3,20 @@ exchange counts, pushdown, no pair-producing joins, hash aggregation only."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
+from arrearly.operators import segments as SG
 from arrearly.operators.nullsafe import not_in
-from arrearly.params import Params
+from arrearly.params import FIXTURE_AS_OF, Params
 from arrearly.plans import fused
 from arrearly.session import scratch_path
 from arrearly.sources.tables import LoanTables
 
-P = Params()
+P = Params.of(FIXTURE_AS_OF)
 SCALE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
@@ -41,17 +44,46 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _nodes(df) -> list[str]:
+    """The plan's operators, each once, however often the tree shows it."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"^\(\d+\) (.*)$", text, re.M)
+
+
+def _count(df, name) -> int:
+    return sum(x.startswith(name) for x in _nodes(df))
+
+
 def test_fused_report_plan_shape(tables, at_scale):
-    plan = _plan(fused.delinquency_report_fused(tables, P))
-    lines = plan.splitlines()
-    scans = [x for x in lines if "Scan parquet" in x]
-    exchanges = [x for x in lines if "Exchange" in x and "BroadcastExchange" not in x]
-    # master x2 (flags, report rows), calls, bucket flow, installments, contacts, NULL-paid test
-    assert len(scans) == 7, plan
-    assert len(exchanges) == 8, plan
+    df = fused.delinquency_report_fused(tables, P)
+    # master x3 (flags, report rows, report rows without account), calls, bucket flow, installments, contacts, NULL-paid test
+    assert _count(df, "Scan parquet") == 8, _plan(df)
+    assert _count(df, "Exchange") == 8, _plan(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "ObjectHashAggregate",
                 "BatchEvalPython", "ArrowEvalPython", "Window"):
-        assert bad not in plan, bad
+        assert bad not in _plan(df), bad
+
+
+def test_master_scans_are_pruned_by_dpd(tables, at_scale, spark):
+    for df in (fused.delinquency_report_fused(tables, P), SG.segment_a(tables, P), SG.segment_b(tables, P), SG.segment_c(tables, P),
+               LN.loans_base(tables.loan_master)):
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        scans = [x for x in text.split("\n\n") if "Scan parquet" in x and "loan_master" in x]
+        rules = [x for x in scans if "obsFPD00" not in x or "currentDelinquency" in x]  # the early-default set has no DPD rule
+        assert rules and all("GreaterThan(currentDelinquency," in x for x in rules), text
+
+
+def test_call_and_installment_rows_no_rule_reads_are_not_scanned(tables, at_scale, spark):
+    text = spark._jvm.PythonSQLUtils.explainString(fused.delinquency_report_fused(tables, P)._jdf.queryExecution(), "formatted")
+    pushed = [x for x in text.splitlines() if x.startswith("PushedFilters")]
+    assert any("In(campaignName" in x and "EqualTo(connected,0)" in x for x in pushed)
+    assert any("LessThanOrEqual(installmentDueDate" in x and "EqualTo(isCurrentDelinquent,1)" in x for x in pushed)
+
+
+def test_segments_compute_each_key_set_once(tables, at_scale):
+    for build, scans in ((SG.segment_a, 6), (SG.segment_b, 5), (SG.segment_c, 6)):
+        df = build(tables, P)
+        assert _count(df, "Scan parquet") <= scans, (build.__name__, _plan(df))
 
 
 def test_filters_reach_the_scans(tables, at_scale, spark):

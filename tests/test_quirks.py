@@ -14,10 +14,10 @@ from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators import segments as SG
 from arrearly.operators.nullsafe import KEY
-from arrearly.params import Params
+from arrearly.params import FIXTURE_AS_OF, Params
 from arrearly.plans import fused, report
 
-P = Params()  # as_of 2024-02-10
+P = Params.of(FIXTURE_AS_OF)  # as_of 2024-02-10
 
 
 def labels(t, p=P) -> dict:

@@ -17,9 +17,12 @@ import pyarrow as pa
 import pytest
 
 from arrearly import schemas
+from arrearly.operators import contacts as CT
 from arrearly.params import Params
 from arrearly.plans import fused, report
 from arrearly.plans.oracle import rule_ctes
+from arrearly.session import scratch_path
+from arrearly.sources import sinks
 from arrearly.sources.tables import TABLE_NAMES, LoanTables
 
 AS_OF = dt.date(2024, 2, 10)
@@ -50,10 +53,10 @@ def generate(seed: int) -> dict[str, list[tuple]]:
     lm = []
     for _ in range(r.randint(6, 12)):
         lm.append(dict(
-            customerId=r.randint(1, 4), loanAccountNumber=_acct(r, 0.04),
+            customerId=_pick(r, [1, 2, 3, 4, None], [4, 4, 4, 4, 1]), loanAccountNumber=_acct(r, 0.04),
             disbursementDateTime=_ts(r, -400, -100),
             firstName=_pick(r, ["Ann", "Bo", None], [5, 5, 1]), middleName=_pick(r, ["Q", None]), lastName="Z",
-            province=_pick(r, ["North", "South"]),
+            province=_pick(r, ["North", "South", "", " padded ", 'a "quoted", one', "two\nlines", "back\\slash\\", None]),
             currentDelinquency=_pick(r, [None, 0, 5, 20, 21, 40, 60, 61, 75, 90, 91, 130]),
             Overdue_Principal=_pick(r, [None, 10.5, 3.25]), Overdue_Interest=_pick(r, [None, 1.5]),
             Overdue_Penalty=_pick(r, [None, 0.25]), outstandingBalance=100.0,
@@ -92,8 +95,8 @@ def generate(seed: int) -> dict[str, list[tuple]]:
                            Max_current_DPD=_pick(r, [0, 1, 5, 20, 21, 60, 61, 70, 90, 91])))
     contacts = []
     for i in range(r.randint(0, 7)):
-        contacts.append(dict(customer_id=r.randint(1, 5), new_mobile_number=900 + i,
-                             change_date=_ts(r, -300, -1), ACTIVE=_pick(r, ["Y", "N"], [3, 1])))
+        contacts.append(dict(customer_id=_pick(r, [1, 2, 3, 4, 5, None]), new_mobile_number=900 + i,
+                             change_date=_pick(r, [None, _ts(r, -300, -1), _ts(r, -2, -1)], [1, 4, 4]), ACTIVE=_pick(r, ["Y", "N"], [3, 1])))
     if seed % 2 == 0:
         # plant a Segment A candidate; the random rows around it may still knock it out
         acct, day = r.randint(1, 7), _day(r, -30, -1)
@@ -127,7 +130,7 @@ def _norm(rows):
 @pytest.mark.parametrize("seed", range(16))
 def test_random_tables_agree(spark, seed):
     data = generate(seed)
-    p = Params(min_early_attempts=seed % 3)  # low thresholds so Segment A is reachable
+    p = Params.of(AS_OF, min_early_attempts=seed % 3)  # low thresholds so Segment A is reachable
     t = LoanTables(**{n: spark.createDataFrame(data[n], schemas.SCHEMAS[n]) for n in TABLE_NAMES})
     cols = list(schemas.REPORT_COLUMNS)
     got_fused = _norm(tuple(r) for r in fused.delinquency_report_fused(t, p).select(cols).collect())
@@ -139,7 +142,16 @@ def test_random_tables_agree(spark, seed):
         con.register(n, _arrow(n, data[n]))
     sql = f"WITH {rule_ctes(p)}\nSELECT {', '.join(cols)} FROM report"
     want = _norm(con.execute(sql).fetchall())
+    ranks = _norm(con.execute(f"WITH {rule_ctes(p)}\nSELECT * FROM cd").fetchall())
     con.close()
 
     assert got_fused == want
     assert got_step == want
+    assert _norm(tuple(r) for r in CT.contact_rank(t.contacts).collect()) == ranks
+    # through the file sinks and back
+    rep = fused.delinquency_report_fused(t, p)
+    path = scratch_path(spark, "t-random")
+    sinks.export_csv(rep, path, null_value="\\N")
+    assert _norm(tuple(r) for r in sinks.read_csv(spark, path, schemas.REPORT, null_value="\\N").select(cols).collect()) == want
+    sinks.write_snapshot(rep, path + "-snap", p)
+    assert _norm(tuple(r) for r in sinks.read_snapshot(spark, path + "-snap", p).select(cols).collect()) == want

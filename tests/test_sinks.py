@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+import pytest
 from conftest import loan, tables
 
 from arrearly import schemas
-from arrearly.params import Params
+from arrearly.params import FIXTURE_AS_OF, Params
 from arrearly.plans import fused
-from arrearly.session import scratch_path
+from arrearly.session import scratch_path, shared_dir
 from arrearly.sources import sinks
 from arrearly.sources.tables import LoanTables
 
@@ -18,7 +21,7 @@ def _same(a, b):
 
 def test_csv_roundtrip_keeps_nulls_and_empty_strings(spark):
     lm = [loan(1, 5, middleName=None), loan(2, 5, middleName="", province=None), loan(3, 5, province="")]
-    rep = fused.delinquency_report_fused(tables(spark, loan_master=lm), Params())
+    rep = fused.delinquency_report_fused(tables(spark, loan_master=lm), Params.of(FIXTURE_AS_OF))
     path = scratch_path(spark, "t-csv")
     sinks.export_csv(rep, path, null_value="\\N")
     back = sinks.read_csv(spark, path, schemas.REPORT, null_value="\\N")
@@ -33,7 +36,7 @@ def test_csv_roundtrip_keeps_nulls_and_empty_strings(spark):
 
 
 def test_csv_custom_separator(spark, sf0001):
-    rep = fused.delinquency_report_fused(LoanTables.from_fixtures(spark, sf0001), Params())
+    rep = fused.delinquency_report_fused(LoanTables.from_fixtures(spark, sf0001), Params.of(FIXTURE_AS_OF))
     path = scratch_path(spark, "t-csv-sep")
     sinks.export_csv(rep, path, sep="|")
     assert _same(rep, sinks.read_csv(spark, path, schemas.REPORT, sep="|"))
@@ -53,7 +56,7 @@ def test_snapshot_overwrites_only_its_run_date(spark):
 
 def test_table_overwrite_and_drop(spark):
     t = tables(spark, loan_master=[loan(1, 95), loan(2, 10)])
-    rep = fused.delinquency_report_fused(t, Params())
+    rep = fused.delinquency_report_fused(t, Params.of(FIXTURE_AS_OF))
     sinks.drop_table(spark, "case_report")
     sinks.write_table(rep, "case_report")
     sinks.write_table(rep, "case_report")  # replace, not append
@@ -74,21 +77,122 @@ def test_raw_dataset_and_parquet_tables(spark, sf0001):
     back = LoanTables.from_parquet(spark, root)
     for n, df in t.as_dict().items():
         assert _same(df, getattr(back, n)), n
-    rep = fused.delinquency_report_fused(back, Params())
+    rep = fused.delinquency_report_fused(back, Params.of(FIXTURE_AS_OF))
     path = sinks.write_raw_dataset(rep, scratch_path(spark, "t-raw"))
     assert path.endswith("/Rawdata")
-    assert _same(rep, spark.read.parquet(path))
+    assert _same(sinks.for_file(rep), spark.read.parquet(path))
 
 
 def test_command_line_run(spark, sf0001, capsys):
     from arrearly.__main__ import main
 
     out = scratch_path(spark, "t-cli")
-    main(["--fixtures", sf0001, "--out", out, "--csv"], spark=spark)
+    main(["--fixtures", sf0001, "--as-of", "2024-02-10", "--out", out, "--csv"], spark=spark)
     printed = capsys.readouterr().out
     assert "rows: 2411" in printed
-    assert sinks.read_snapshot(spark, f"{out}/snapshots", Params()).count() == 2411
+    assert sinks.read_snapshot(spark, f"{out}/snapshots", Params.of(FIXTURE_AS_OF)).count() == 2411
     assert sinks.read_csv(spark, f"{out}/csv/2024-02-10", schemas.REPORT).count() == 2411
+    assert spark.read.parquet(f"{out}/Rawdata").count() == 2411
+
+
+def test_run_date_is_today_unless_given(spark, capsys):
+    from arrearly.__main__ import main
+
+    with pytest.raises(TypeError):
+        Params()
+    t = tables(spark, loan_master=[loan(1, 95)])
+    root, out = scratch_path(spark, "t-today-in"), scratch_path(spark, "t-today")
+    t.write_parquet(root)
+    before = dt.datetime.now(dt.timezone.utc).date()
+    main(["--tables", root, "--out", out], spark=spark)
+    after = dt.datetime.now(dt.timezone.utc).date()
+    days = {r.as_of for r in sinks.read_snapshot(spark, f"{out}/snapshots").select("as_of").collect()}
+    assert len(days) == 1 and days <= {before, after}
+
+
+HARD = [" lead", "trail  ", 'a "quote"', '"', "comma, here", "two\nlines", "cr\rhere", "back\\slash", "\\", '\\"', "", None, "\\N?", "tab\t", "é文字", "''", '""']
+
+
+@pytest.mark.parametrize("sep", [",", "|", ";"])
+def test_csv_changes_no_value(spark, sep):
+    df = spark.createDataFrame([(i, v, w) for i, v in enumerate(HARD) for w in HARD], "i int, v string, w string").repartition(3)
+    path = scratch_path(spark, "t-hard")
+    sinks.export_csv(df, path, sep=sep, null_value="\\N")
+    assert _same(df, sinks.read_csv(spark, path, df.schema, sep=sep, null_value="\\N"))
+
+
+def test_csv_is_read_alike_by_other_tools(spark):
+    import csv
+    import glob
+
+    rows = [(1, 'say "hi"', " x "), (2, "a,b", "two\nlines"), (3, "back\\slash", "plain")]
+    path = scratch_path(spark, "t-other").removeprefix("file:")
+    sinks.export_csv(spark.createDataFrame(rows, "i int, v string, w string").coalesce(1), path)
+    with open(glob.glob(f"{path}/part-*.csv")[0], newline="") as f:
+        assert list(csv.reader(f)) == [["i", "v", "w"]] + [[str(i), v, w] for i, v, w in rows]
+
+
+def test_empty_rerun_empties_its_date(spark):
+    t = tables(spark, loan_master=[loan(1, 95)])
+    root = scratch_path(spark, "t-empty")
+    p1, p2 = Params.of("2024-01-31"), Params.of("2024-02-10")
+    rep = fused.delinquency_report_fused(t, p1)
+    sinks.write_snapshot(rep, root, p1)
+    sinks.write_snapshot(rep, root, p2)
+    sinks.write_snapshot(rep.limit(0), root, p2)
+    assert sinks.read_snapshot(spark, root, p2).count() == 0 and sinks.read_snapshot(spark, root, p1).count() == 1
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    class Context:
+        def __init__(self, master):
+            self.master, self.made = master, []
+
+        def getCheckpointDir(self):
+            return self.made[-1] if self.made else None
+
+        def setCheckpointDir(self, d):
+            self.made.append(d)
+
+    class Session:
+        def __init__(self, master, folder=None):
+            self.sparkContext = Context(master)
+            self.conf = type("Conf", (), {"get": lambda _, key, default=None: folder})()
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(Session(master))
+        assert shared_dir(Session(master, "file:/shared")) == "file:/shared"
+    assert shared_dir(Session("local[2]")) and shared_dir(Session("local"))
+
+
+def test_decimal_money_and_type_check(spark, sf0001):
+    from pyspark.sql import functions as F
+
+    t = LoanTables.from_fixtures(spark, sf0001)
+    money = {c: F.col(c).cast("decimal(18,2)") for c in schemas.MONEY}
+    exact = t.loan_master.withColumns(money)
+    root = scratch_path(spark, "t-decimal")
+    LoanTables(**(t.as_dict() | {"loan_master": exact})).write_parquet(root)
+    back = LoanTables.from_parquet(spark, root)
+    assert back.loan_master.schema["outstandingBalance"].dataType.simpleString() == "decimal(18,2)"
+    p = Params.of(FIXTURE_AS_OF)
+    plain = LoanTables(**(t.as_dict() | {"loan_master": exact.withColumns({c: F.col(c).cast("double") for c in schemas.MONEY})}))
+    sums = ["total_overdue_amount", "total_outstanding_amount", "outstandingBalance"]
+    rounded = lambda df: df.select("loanAccountNumber", "Segment", "primary_number", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in sums])
+    assert _same(rounded(fused.delinquency_report_fused(back, p)), rounded(fused.delinquency_report_fused(plain, p)))
+    names = {n: f"arrearly_dec_{n}" for n in t.as_dict()}
+    for n in names:
+        sinks.write_table(spark.read.parquet(f"{root}/{n}"), names[n])
+    assert _same(rounded(fused.delinquency_report_fused(LoanTables.from_catalog(spark, names), p)), rounded(fused.delinquency_report_fused(plain, p)))
+    sinks.write_table(spark.read.parquet(f"{root}/contacts").withColumn("ACTIVE", F.lit(1)), names["contacts"])
+    with pytest.raises(TypeError, match="contacts.ACTIVE"):
+        LoanTables.from_catalog(spark, names)
+    sinks.write_table(spark.read.parquet(f"{root}/contacts").drop("ACTIVE"), names["contacts"])
+    with pytest.raises(TypeError, match="no column ACTIVE"):
+        LoanTables.from_catalog(spark, names)
+    for name in names.values():
+        sinks.drop_table(spark, name)
 
 
 def test_catalog_tables_roundtrip(spark, sf0001):
@@ -97,6 +201,6 @@ def test_catalog_tables_roundtrip(spark, sf0001):
     for n, df in t.as_dict().items():
         sinks.write_table(df, names[n])
     back = LoanTables.from_catalog(spark, names)
-    assert _same(fused.delinquency_report_fused(back, Params()), fused.delinquency_report_fused(t, Params()))
+    assert _same(fused.delinquency_report_fused(back, Params.of(FIXTURE_AS_OF)), fused.delinquency_report_fused(t, Params.of(FIXTURE_AS_OF)))
     for name in names.values():
         sinks.drop_table(spark, name)
