@@ -9,7 +9,7 @@ repetition are n-grams like others. A feature's value is its share of the text's
 n-grams times ``SCALE``; a text without tokens has the bias alone.
 
 Training (FTRL-proximal, per-coordinate rates) uses at most ``TRAIN_ROWS``
-labelled rows, those with the smallest hash of doc_id, whole texts. They are
+labelled rows, those of the labels with the smallest hash of doc_id, whole texts. They are
 dealt to ``TRAIN_SHARDS`` tasks that each see every feature of their rows for
 ``EPOCHS`` passes; the mean of their weights is the model, 2**BITS floats,
 which is broadcast. Scores read only the text.
@@ -103,8 +103,10 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, epochs: int = E
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, shards: int = TRAIN_SHARDS) -> np.ndarray:
     """The model of a bounded sample of labelled rows (see above)."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    chosen = docs.select("doc_id", "text").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows)
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    # ``rows`` pairs of numbers at most, so a broadcast is bounded, and only the texts of the sample move.
+    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows)
     dealt = chosen.withColumn("shard", F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(shards)))
 
     def one(pdf):
