@@ -11,13 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arrearly.session import shared_dir
+
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 PRIME = 0x100000001B3
-PIECE = 1 << 20  # bytes hashed at once
-BATCH_BYTES = 2 << 20  # text handled at once by a task
+PIECE = 1 << 19  # bytes hashed at once
+BATCH_BYTES = 1 << 20  # text handled at once by a task
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -43,11 +46,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share
-    (``spark.checkpoint.dir``, or the session's checkpoint folder)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    (``spark.checkpoint.dir``)."""
+    return f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -114,14 +114,21 @@ WORD_BYTE[0x61:0x7B] = 1
 WORD_BYTE[0x80:] = 1
 
 
+BLANKED = bytes(i if WORD_BYTE[i] else 0x20 for i in range(256))  # for bytes.translate(): all that is in no word
+
+
+def utf8(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
 class Words:
     """Words of a batch of texts: ``blob`` (lower-cased UTF-8, texts parted by
     a newline), ``starts``/``ends`` of words in it, their ``hashes``,
     ``offset`` of each text in the blob and ``bounds``: text i has the words
     bounds[i]:bounds[i+1]. A null text has no words."""
 
-    def __init__(self, texts: list[str | None], hashed: bool = True):
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: list[str | bytes | None], hashed: bool = True):
+        raw = [t if isinstance(t, bytes) else utf8(t) for t in texts]
         self.blob = b"\n".join(raw).lower()  # bytes.lower() changes A-Z only
         self.offset = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)))
         buf = np.frombuffer(self.blob, np.uint8)
@@ -149,17 +156,21 @@ class Words:
         return at, mix(h)
 
 
-def text_batches(texts: list[str | None], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose texts have about ``most`` characters together."""
+def text_batches(texts: list[str | None] | pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about ``most`` bytes together (of a
+    list: characters)."""
+    if isinstance(texts, list):
+        sizes = [len(t) if t else 0 for t in texts]
+    else:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     lo, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(sizes):
         if i > lo and size + n > most:
             yield lo, i
             lo, size = i, 0
         size += n
-    if lo < len(texts):
-        yield lo, len(texts)
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -172,8 +183,7 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            col = b.column("text").to_pylist() if "text" in b.schema.names else None
-            for lo, hi in text_batches(col) if col is not None else [(0, b.num_rows)]:
+            for lo, hi in text_batches(b.column("text")) if "text" in b.schema.names else [(0, b.num_rows)]:
                 got = fn(b.slice(lo, hi - lo))
                 if got is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)

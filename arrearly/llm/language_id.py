@@ -196,7 +196,7 @@ def keep_known(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for lo, hi in text_batches(b.column("text").to_pylist()):
+            for lo, hi in text_batches(b.column("text")):
                 part = b.slice(lo, hi - lo)
                 langs, _ = model_of(samples).predict(part.column("text").to_pylist())
                 yield part.filter(pa.array([x != UNKNOWN for x in langs]))
