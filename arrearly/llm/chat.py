@@ -158,3 +158,21 @@ def contract(conversations: DataFrame) -> DataFrame:
 
 def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
+
+
+def _escaped_length(c: str, marks: str) -> str:
+    return f"length({c}) + " + " + ".join(f"length({c}) - length(replace({c}, {m}, ''))" for m in marks.split())
+
+
+SQL = f"""
+WITH c AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, n, r, chr(92) || '### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, '{LEARNED_ROLE}')) v(n, r)),
+l AS (SELECT *, 4 + {_escaped_length('role', 'chr(92) chr(35) chr(60) chr(58) chr(10)')} + 2
+    + {_escaped_length('text', 'chr(92) chr(35) chr(60)')} + 8 AS size FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = '{LEARNED_ROLE}'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = '{LEARNED_ROLE}'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM l GROUP BY conv_id
+"""

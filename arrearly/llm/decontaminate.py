@@ -200,7 +200,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
     def run(batches):
         for b in batches:
-            for lo, hi in text_batches(b.column("text").to_pylist()):
+            for lo, hi in text_batches(b.column("text")):
                 part = b.slice(lo, hi - lo)
                 texts = part.column("text").to_pylist()
                 w = Words(texts)
@@ -218,3 +218,21 @@ def contract(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The digest columns of ``op2``: counts and a hash of the item ids."""
     return find_hits(docs, benchmark).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS} AS ws FROM benchmark),
+bi AS (SELECT item, ws, least({WINDOW}, len(ws)) AS size, unnest(range(len(ws) - least({WINDOW}, len(ws)) + 1)) AS i FROM b WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item, size, array_to_string(list_slice(ws, i + 1, i + size), ' ') AS w FROM bi),
+di AS (SELECT rid, ws, size, unnest(range(greatest(len(ws) - size + 1, 0))) AS i FROM d CROSS JOIN (SELECT DISTINCT size FROM bw)),
+dw AS (SELECT rid, i, size, array_to_string(list_slice(ws, i + 1, i + size), ' ') AS w FROM di),
+h AS (SELECT dw.rid, dw.i, dw.size, bw.item FROM dw JOIN bw ON dw.size = bw.size AND dw.w = bw.w),
+p AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS pos FROM h) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+       sha256(coalesce(t.items, '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p ON p.rid = d.rid LEFT JOIN t ON t.rid = d.rid
+"""
