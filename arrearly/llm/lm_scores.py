@@ -5,7 +5,7 @@ n-grams of documents are joined to them and the logarithms summed per
 document. To keep rows few, n-grams travel in blocks: documents are dealt by
 hash over blocks of about ``BLOCK_CHARS`` characters, and a block sends, for
 every order and hash partition, one row with its distinct n-gram hashes (sorted, as
-differences) and counts. A hash partition adds up the counts of all blocks
+differences) and counts. Texts go to their blocks as compressed words. A hash partition adds up the counts of all blocks
 and sends each block the totals of what it asked for, in the same order; a
 block then scores its documents. A frequent n-gram is one entry per
 block, so no task's input follows a key's frequency. Nothing is pruned, and
@@ -37,13 +37,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, written
+from .common import BLANKED, Words, text_batches, utf8, written
 
 ORDER = 3
 BACKOFF = 0.4
 BLOCK_CHARS = 8_000_000
 PART_CHARS = 16_000_000  # text whose n-grams of one order make a hash partition, about
+FLUSH_CHARS = 16_000_000
 UNIT = 1_000_000
+BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("words", pa.binary())])
 SCORES = "doc_id long, n_words long, micro_log10 long, n_backed_off long"
 
 
@@ -75,7 +77,7 @@ class Grams:
     """n-grams of a block's documents: for each order the distinct hashes, the
     number of each position's n-gram (that ends there, or -1) and counts."""
 
-    def __init__(self, texts: list[str | None], order: int):
+    def __init__(self, texts: list[bytes], order: int):
         w = Words(texts)
         self.bounds, self.n = w.bounds, len(w.starts)
         self.orders = []
@@ -100,11 +102,42 @@ class Grams:
         return count[which]
 
 
+def _to_blocks(batches):
+    """Compressed words of the documents of a task, one row per block and
+    about FLUSH_CHARS characters."""
+
+    def rows(held):
+        cols = [list(c) for c in zip(*[(block, ids, zstandard.ZstdCompressor(level=3).compress(b"\n".join(texts))) for block, (ids, texts) in held.items()])]
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.binary())], schema=BLOCKS)
+
+    held, size = {}, 0
+    for batch in batches:
+        for lo, hi in text_batches(batch.column("text")):
+            part = batch.slice(lo, hi - lo)
+            for block, doc, text in zip(*[part.column(c).to_pylist() for c in ("block", "doc_id", "text")]):
+                ids, texts = held.setdefault(block, ([], []))
+                ids.append(doc)
+                texts.append(utf8(text).lower().translate(BLANKED))
+                size += len(texts[-1])
+            if size >= FLUSH_CHARS:
+                yield rows(held)
+                held, size = {}, 0
+    if held:
+        yield rows(held)
+
+
+def _documents(tbl: pa.Table) -> tuple[list, list[bytes]]:
+    """doc_ids and words of the documents of a block's rows."""
+    ids = [i for own in tbl.column("ids").to_pylist() for i in own]
+    texts = [t for blob in tbl.column("words").to_pylist() for t in zstandard.ZstdDecompressor().decompress(blob).split(b"\n")]
+    return ids, texts
+
+
 def _requests(order: int, bits: int):
     schema = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
     def run(key, tbl):
-        grams = Grams(tbl.column("text").to_pylist(), order)
+        grams = Grams(_documents(tbl)[1], order)
         rows = []
         for k, (distinct, _, count) in enumerate(grams.orders):
             rows += [(key[0].as_py(), (k << 32) + p, packed_sorted(distinct[a:b]), packed(count[a:b])) for p, a, b in grams.slices(distinct, bits)]
@@ -129,8 +162,8 @@ def _totals(key, tbl):
 
 def _score(order: int, backoff: float, leave_out: bool):
     def run(key, docs, answers):
-        ids = docs.column("doc_id").to_pylist() if docs.num_rows else []
-        grams = Grams(docs.column("text").to_pylist() if docs.num_rows else [], order)
+        ids, texts = _documents(docs) if docs.num_rows else ([], [])
+        grams = Grams(texts, order)
         sizes = np.diff(grams.bounds)
         parts = sorted(zip(answers.column("part").to_pylist(), answers.column("totals").to_pylist())) if answers.num_rows else []
         known = []  # per order: count of the n-gram that ends at each position, without the document's own
@@ -165,7 +198,7 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, leave_o
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
     bits = (chars // part_chars).bit_length()
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_to_blocks, "block long, ids array<long>, words binary")
     answers = (dealt.groupBy("block").applyInArrow(_requests(order, bits), "block long, part long, hashes binary, counts binary")
                .groupBy("part").applyInArrow(_totals, "block long, part long, totals binary"))
     scored = written(dealt.groupBy("block").cogroup(answers.groupBy("block"))
