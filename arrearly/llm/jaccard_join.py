@@ -6,14 +6,17 @@ text of fewer words, but not none, is one n-gram). Documents with
 equal sets are one node, found by a set hash. A node gets ``TREES`` labels of
 ``DEPTH`` MinHash values each. For every tree all labels are sorted (range
 partitions over the whole label): a prefix trie, in which nodes that share a
-prefix stand together. Each node is matched with the ``NEAR`` nodes before it,
-those with the longest common prefixes; prefixes are shortened as long as
-the target recall asks for it, 1 - (1 - THRESHOLD**depth)**TREES >= ``RECALL``, and the
-branch of that last depth also matches all its nodes with its smallest one.
-
-Matches whose signatures agree far less than the threshold asks (by
-``SLACK``, over four standard deviations) are dropped, and the rest connect
-nodes into groups. A group is verified whole, every pair of its nodes, on the
+prefix stand together. Matching begins with whole labels: each node is matched
+with the node before it, its longest common prefix, and with the smallest node of its
+trie branch. Matches whose signatures agree far less than the threshold asks
+(by ``SLACK``, over four standard deviations) are dropped, and the rest connect nodes into
+groups. From then on only nodes of different groups are matched: first the
+other trees follow (the first step takes ``FIRST_TREES``), then the prefix is shortened
+by one value at a time, until the target recall for a pair at the threshold
+is met: 1 - (1 - THRESHOLD**depth)**TREES >= ``RECALL``. So a large group of near copies
+is joined by its first trees and long prefixes, and its matches stay few.
+
+A group is verified whole, every pair of its nodes, on the
 sets rebuilt from the texts: a pair counts if |A and B| / |A or B| >=
 THRESHOLD. Groups of up to ``GROUP`` nodes are dealt over tasks in batches; larger ones in
 blocks, each pair of blocks a task of at most two blocks. Tasks give link
@@ -45,9 +48,9 @@ from .common import M3, Words, arrow_map, mix, written
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 16
+FIRST_TREES = 4
 DEPTH = 6
 RECALL = 0.995
-NEAR = 4
 SLACK = 0.16
 GROUP = 256
 TASK_NODES = 2_000
@@ -63,6 +66,11 @@ def stop_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DE
     return next(d for d in range(depth, 0, -1) if d == 1 or 1 - (1 - threshold**d) ** trees >= recall)
 
 
+def steps(threshold: float = THRESHOLD, recall: float = RECALL) -> list[tuple[int, int]]:
+    """(prefix, trees) of the matching steps."""
+    return [(DEPTH, FIRST_TREES), *[(d, TREES) for d in range(DEPTH, stop_depth(threshold, recall=recall) - 1, -1)]]
+
+
 def shingle_sets(texts: list[str | None], n: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of each text."""
     w = Words(texts)
@@ -107,34 +115,35 @@ def _label(tree: Column, depth: int) -> Column:
     return F.substring(F.col("signature"), tree * (4 * DEPTH) + 1, F.lit(4 * depth))
 
 
-def candidates(nodes: DataFrame, depth: int) -> DataFrame:
-    """Distinct matches (a < b) of the forest down to prefixes of ``depth``."""
-    rows = (nodes.select("node", "signature", F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree"))
-            .select("tree", _label(F.col("tree"), DEPTH).alias("label"), "node"))
+def candidates(nodes: DataFrame, depth: int, trees: int = TREES) -> DataFrame:
+    """Distinct matches (a < b) in the first ``trees`` at prefixes of ``depth``,
+    between nodes of different groups. ``nodes``: (node, signature, label), label being the group."""
+    rows = (nodes.select("node", "signature", F.col("label").alias("group"), F.explode(F.array(*[F.lit(t) for t in range(trees)])).alias("tree"))
+            .select("tree", _label(F.col("tree"), DEPTH).alias("label"), "node", "group"))
     trie = rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
 
     def near(batches):
-        """Matches each row with the rows before it that share the prefix,
-        the longest prefixes being nearest; carries the last rows over."""
-        tail = None
+        """Matches each row with the one before it if they share the prefix;
+        the last row is carried over to the next batch."""
+        last = None
         for b in batches:
-            part = pa.Table.from_batches([b])
-            if tail is not None:
-                part = pa.concat_tables([tail, part])
-            key = [t.to_bytes(2, "big") + x[: 4 * depth] for t, x in zip(part.column("tree").to_pylist(), part.column("label").to_pylist())]
-            node = part.column("node").to_numpy()
-            skip = 0 if tail is None else tail.num_rows
-            made = [(node[i - d], node[i]) for i in range(skip, len(node)) for d in range(1, min(NEAR, i) + 1) if key[i - d] == key[i]]
+            key = [t.to_bytes(2, "big") + x[: 4 * depth] for t, x in zip(b.column("tree").to_pylist(), b.column("label").to_pylist())]
+            node, group = b.column("node").to_pylist(), b.column("group").to_pylist()
+            if last:
+                key, node, group = [last[0], *key], [last[1], *node], [last[2], *group]
+            made = [(node[i - 1], node[i]) for i in range(1, len(key)) if key[i - 1] == key[i] and group[i - 1] != group[i]]
             if made:
                 x = np.array(made, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(x.min(axis=1)), pa.array(x.max(axis=1))], names=["a", "b"])
-            tail = part.slice(max(0, part.num_rows - NEAR))
+            if key:
+                last = key[-1], node[-1], group[-1]
 
     pairs = trie.mapInArrow(near, "a long, b long")
-    branches = rows.select(F.xxhash64("tree", F.substring("label", 1, 4 * depth)).alias("branch"), "node")
-    first = branches.groupBy("branch").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("branch", "a")
-    star = branches.join(first, "branch").where("node <> a").select("a", F.col("node").alias("b"))
-    return pairs.unionByName(star).where("a <> b").distinct()
+    branches = rows.select(F.xxhash64("tree", F.substring("label", 1, 4 * depth)).alias("branch"), "node", "group")
+    first = (branches.groupBy("branch").agg(F.min(F.struct("node", "group")).alias("f"), F.count("*").alias("n")).where("n > 1")
+             .select("branch", F.col("f.node").alias("a"), F.col("f.group").alias("of")))
+    star = branches.join(first, "branch").where("group <> of").select("a", F.col("node").alias("b"))
+    return pairs.unionByName(star).distinct()
 
 
 def similar_signatures(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -156,6 +165,8 @@ def components(links: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     shared folder: each node takes the smallest label around it, then the
     label of its label, until a round changes nothing."""
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-links")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("node"), F.col("b").alias("label"))
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label"))
     labels = written(labels, f"{name}-0")
     for i in range(max_rounds):
@@ -171,6 +182,16 @@ def components(links: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components of {name} did not settle in {max_rounds} rounds")
 
 
+def joined_groups(groups: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``groups`` with the labels that the links (a, b) between nodes leave:
+    the groups' own graph, which is smaller than the nodes', is labelled."""
+    a = groups.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    b = groups.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    between = links.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b")
+    new = components(between, name).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return groups.join(new, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+
+
 def compare(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float) -> np.ndarray:
     """Which pairs of sets reach the similarity: a square matrix without the
     diagonal for one list, else left by right."""
@@ -220,10 +241,12 @@ VERIFIED = "node long, links long, other long"
 
 def verify(groups: DataFrame, docs: DataFrame, sketch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, links, other): for every node how many documents it is linked to in one
-    task, and a node it is connected to there. ``groups``: (node, label, copies)."""
-    sizes = groups.groupBy("label").agg(F.count("*").alias("nodes"))
+    task, and a node it is connected to there. ``groups``: (node, label, copies)
+    of all nodes; those alone in their group are left out."""
+    sizes = groups.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    groups = written(groups.select("node", "copies", "label").join(sizes, "label"), "members")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("nodes") / GROUP)).cast("int")
-    dealt = groups.join(sizes, "label").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = groups.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # One text per node; any one will do, as their sets are equal.
     chosen = (sketch.join(groups.select("node"), "node").groupBy("node").agg(F.min(F.struct("text_hash", "doc_id")).alias("d"))
               .select("node", F.col("d.text_hash").alias("chosen_hash"), F.col("d.doc_id").alias("chosen_doc")))
@@ -262,9 +285,10 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     sketch = written(sketches(docs), "sketch")
     nodes = written(sketch.where("node is not null").groupBy("node").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"), F.min("signature").alias("signature")), "nodes")
-    matches = candidates(nodes, stop_depth(threshold, recall=recall))
-    likely = similar_signatures(matches, nodes, threshold - SLACK)
-    groups = written(components(likely, "groups").join(nodes.select("node", "copies"), "node"), "groups")
+    groups = nodes.select("node", "copies", "signature", F.col("node").alias("label"))
+    for depth, trees in steps(threshold, recall):
+        likely = similar_signatures(candidates(groups, depth, trees), nodes, threshold - SLACK)
+        groups = written(joined_groups(groups, likely, f"groups-{depth}-{trees}"), f"groups-{depth}-{trees}")
     verified = written(verify(groups, docs, sketch, threshold), "verified")
     classes = components(verified.select(F.col("node").alias("a"), F.col("other").alias("b")).where("a <> b"), "classes")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
@@ -295,3 +319,19 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def contract(docs: DataFrame) -> DataFrame:
     return jaccard_classes(docs).select("doc_id", "class_id", "n_links")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT rid, ws, least({SHINGLE}, len(ws)) AS size, unnest(range(len(ws) - least({SHINGLE}, len(ws)) + 1)) AS i FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT rid, size, array_to_string(list_slice(ws, i + 1, i + size), ' ') AS shingle FROM i),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+c AS (SELECT a.rid AS a, b.rid AS b, count(*) AS common FROM s a JOIN s b ON a.size = b.size AND a.shingle = b.shingle AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+l AS (SELECT c.a, c.b FROM c JOIN n x ON x.rid = c.a JOIN n y ON y.rid = c.b WHERE 5 * common >= 4 * (x.n + y.n - common)),
+r AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT r.a AS rid, min(d.doc_id) AS class_id FROM r JOIN d ON d.rid = r.b GROUP BY r.a),
+k AS (SELECT a AS rid, count(*) AS n_links FROM l GROUP BY a)
+SELECT d.doc_id, m.class_id, coalesce(k.n_links, 0) AS n_links FROM d JOIN m ON m.rid = d.rid LEFT JOIN k ON k.rid = d.rid
+"""

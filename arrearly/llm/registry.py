@@ -30,5 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_lm_scores": lm_scores.SQL,
+    "op2_decontaminate": decontaminate.SQL,
+    "op5_jaccard_join": jaccard_join.SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op7_chat_format": chat.SQL,
 }
