@@ -7,8 +7,9 @@ phrases, normalised by the logarithm of the sample's length, wins.
 
 The sample is ``SAMPLE_ROWS`` labelled rows per language (dealt by a hash of
 doc_id, texts of at most ``PLAIN_CHARS`` characters first) and
-``SAMPLE_CHARS`` normalised characters of them; more than ``MAX_LANGUAGES``
-label values are an error. Only the sample texts travel; every Python
+``SAMPLE_CHARS`` normalised characters of them, without runs of ``SHARED`` words
+that two of its rows have (boilerplate and passages that documents of every
+language quote); more than ``MAX_LANGUAGES`` label values are an error. Only the sample texts travel; every Python
 worker builds the automata once. Texts are parsed whole, in segments of
 ``SEGMENT`` characters that all advance together, so that each step is a few
 array operations; a phrase ends where its segment ends.
@@ -22,6 +23,7 @@ name; rows are independent, so repeated rows repeat. Only ``doc_id``,
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 
@@ -35,6 +37,7 @@ from .common import arrow_map, crc_mod, text_batches
 SAMPLE_ROWS = 64
 SAMPLE_CHARS = 24_000
 PLAIN_CHARS = 4_000
+SHARED = 6
 MAX_LANGUAGES = 64
 SEGMENT = 1024
 UNKNOWN = "und"
@@ -166,7 +169,32 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int
         clean, own = normal(r["text"]), out.setdefault(r["lang"], [])
         if clean and clean not in own:
             own.append(clean)
-    return {lang: "  ".join(own)[:sample_chars] for lang, own in out.items() if own}
+    samples = {}
+    for lang, own in unshared(out).items():
+        if sum(map(len, own)) < sample_chars // 8:  # little but shared text: better that than none
+            own = out[lang]
+        if own:
+            samples[lang] = "  ".join(own)[:sample_chars]
+    return samples
+
+
+def unshared(texts: dict[str, list[str]], n: int = SHARED) -> dict[str, list[str]]:
+    """The texts without runs of n words that another text, of any language,
+    has too; a text falls into the pieces between them."""
+    places: dict[tuple, tuple | None] = {}
+    split = {(lang, k): t.split() for lang, own in texts.items() for k, t in enumerate(own)}
+    for place, w in split.items():
+        for i in range(len(w) - n + 1):
+            run = tuple(w[i: i + n])
+            places[run] = place if places.get(run, place) == place else None
+    out: dict[str, list[str]] = {lang: [] for lang in texts}
+    for (lang, k), w in split.items():
+        shared = [False] * len(w)
+        for i in range(len(w) - n + 1):
+            if places[tuple(w[i: i + n])] is None:
+                shared[i: i + n] = [True] * n
+        out[lang] += [" ".join(x for x, _ in own) for drop, own in itertools.groupby(zip(w, shared), key=lambda x: x[1]) if not drop]
+    return out
 
 
 _models: dict[tuple, Model] = {}

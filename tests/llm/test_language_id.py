@@ -72,3 +72,12 @@ def test_edges(docs_of, small):
 def test_too_many_languages(docs_of):
     with pytest.raises(ValueError):
         L.learn(docs_of([(i, f"text {i}", f"l{i}") for i in range(L.MAX_LANGUAGES + 1)]))
+
+
+def test_shared_passages_are_not_learned(docs_of):
+    passage = "one long passage that documents of every language quote here"
+    got = L.unshared({"x": [f"ab cd {passage} ef", "gh ij"], "y": [f"{passage} kl mn"], "z": ["solo text"]})
+    assert got == {"x": ["ab cd", "ef", "gh ij"], "y": ["kl mn"], "z": ["solo text"]}
+    # a language with nothing but a shared text is still learned
+    samples = L.learn(docs_of([(1, passage, "x"), (2, passage, "y"), (3, passage, "y")]))
+    assert samples == {"x": passage, "y": passage}
