@@ -56,7 +56,7 @@ def test_allocation_rules():
 def test_section_edges(spark, docs_of):
     got = T.section_counts(docs_of([(1, None), (2, ""), (None, "a\nb"), (4, "x\n\ny"), (4, "x\n\ny")])).collect()
     assert sorted(((r.doc_id, r.section, r.start, r.end, r.n_tokens) for r in got), key=repr) == sorted(
-        [(1, 0, 0, 0, 0.0), (2, 0, 0, 0, 0.0), (None, 0, 0, 2, 2.0), (None, 1, 2, 3, 1.0)] + 2 * [(4, 0, 0, 2, 1.0), (4, 1, 2, 3, 1.0), (4, 2, 3, 4, 1.0)], key=repr)
+        [(1, 0, 0, 0, 0.0), (2, 0, 0, 0, 0.0), (None, 0, 0, 2, 2.0), (None, 1, 2, 3, 1.0)] + 2 * [(4, 0, 0, 2, 2.0), (4, 1, 2, 3, 1.0), (4, 2, 3, 4, 1.0)], key=repr)
     assert T.section_counts(docs_of([(1, "a")]).limit(0)).count() == 0
     rows = spark.createDataFrame([(1, "one two", None), (2, "", "three")], "doc_id long, title string, body string")
     got = T.field_counts(rows, ["title", "body"]).orderBy("doc_id", "section").collect()
