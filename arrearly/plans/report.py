@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arrearly import params as P
 from arrearly import schemas
 from arrearly.operators import calls as CL
 from arrearly.operators import contacts as CT
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators import segments as SG
-from arrearly.operators.nullsafe import KEY, left_join_known, left_join_spread
+from arrearly.operators.nullsafe import KEY, left_join_spread
 from arrearly.params import Params
 from arrearly.sources.tables import LoanTables
 
@@ -42,11 +43,13 @@ def attach_contacts(df: DataFrame, contacts: DataFrame) -> DataFrame:
 def delinquency_report(t: LoanTables, p: Params) -> DataFrame:
     base = LN.loans_base(t.loan_master)
     a, b, c = SG.segment_keys(t, p)
-    df = SG.label_segment(base, a, b, c)
     facts = IN.min_unpaid_installment(t.installments).where(F.col(KEY).isNotNull())
     for more in (CL.last_rpc(t.calls, p).select(KEY, "lastrpcdate"), CL.last_ptp(t.calls, p)):
         facts = facts.join(more, KEY, "full")
-    df = left_join_known(df, facts, KEY)
+    known = SG.label_segment(base.where(F.col(KEY).isNotNull()), a, b, c).join(facts, KEY, "left")
+    # A loan without an account is in no set and has no facts.
+    unknown = base.where(F.col(KEY).isNull()).withColumn("Segment", F.lit(P.NO_SEGMENT_LABEL))
+    df = known.unionByName(unknown, allowMissingColumns=True)
     return report_columns(attach_contacts(df, t.contacts))
 
 
