@@ -9,12 +9,16 @@ partitions over the whole label): a prefix trie, in which nodes that share a
 prefix stand together. Matching begins with whole labels: each node is matched
 with the node before it, its longest common prefix, and with the smallest node of its
 trie branch. Matches whose signatures agree far less than the threshold asks
-(by ``SLACK``, over four standard deviations) are dropped, and the rest connect nodes into
+(by ``SLACK``, 3.9 standard deviations) are dropped, and the rest connect nodes into
 groups. From then on only nodes of different groups are matched: first the
 other trees follow (the first step takes ``FIRST_TREES``), then the prefix is shortened
 by one value at a time, until the target recall for a pair at the threshold
 is met: 1 - (1 - THRESHOLD**depth)**TREES >= ``RECALL``. So a large group of near copies
 is joined by its first trees and long prefixes, and its matches stay few.
+At last, in branches of the shortest prefix that still hold several groups and
+over two nodes (unlike documents that share passages), the signatures of all
+nodes of different groups are compared, in blocks and without a row per
+pair. So whatever shares a branch has been matched, however crowded it is.
 
 A group is verified whole, every pair of its nodes, on the
 sets rebuilt from the texts: a pair counts if |A and B| / |A or B| >=
@@ -53,6 +57,7 @@ DEPTH = 6
 RECALL = 0.995
 SLACK = 0.16
 GROUP = 256
+BRANCH = 512
 TASK_NODES = 2_000
 SKETCH = "doc_id long, text_hash long, node long, signature binary"
 
@@ -159,6 +164,61 @@ def similar_signatures(pairs: DataFrame, nodes: DataFrame, least: float) -> Data
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def crowded_links(nodes: DataFrame, depth: int, least: float) -> DataFrame:
+    """(a, b): links that join all nodes of different groups that share a
+    branch of ``depth`` in any tree and whose signatures agree in at least this
+    share. Branches of two nodes are left out: the two stand together and have
+    been matched. ``nodes``: (node, signature, label), label being the group.
+
+    A branch's largest group needs no comparison in itself. Its nodes (side 0) and
+    the others (side 1) are cut into blocks of about ``BRANCH``; each block of the
+    others meets every block of both sides, each pair a task of at most two blocks."""
+    rows = (nodes.select("node", F.col("label").alias("group"), "signature", F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree"))
+            .select(F.xxhash64("tree", _label(F.col("tree"), depth)).alias("branch"), "node", "group"))
+    crowded = written(rows.groupBy("branch").agg(F.count("*").alias("n"), F.min("group").alias("lo"), F.max("group").alias("hi"))
+                      .where("n > 2 and lo <> hi").select("branch"), "crowded")
+    rows = written(rows.join(crowded, "branch"), "crowded-nodes")
+    sizes = (rows.groupBy("branch", "group").agg(F.count("*").alias("n"))
+             .groupBy("branch").agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("most"))
+             .select("branch", F.col("most.group").alias("most"), _blocks(F.col("most.n"), BRANCH).alias("blocks0"), _blocks(F.col("n") - F.col("most.n"), BRANCH).alias("blocks1")))
+    dealt = rows.join(sizes, "branch").withColumn("side", (F.col("group") != F.col("most")).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.col("blocks1"))).cast("int")
+    # Blocks are numbered through, those of side 0 first; one of side 0 meets only those of side 1.
+    dealt = dealt.withColumn("block", own + F.col("side") * F.col("blocks0"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.when(F.col("side") == 0, F.col("blocks0")).otherwise(F.lit(0)), F.col("blocks0") + F.col("blocks1") - 1)))
+    lo, hi = F.least("block", "other"), F.greatest("block", "other")
+    tasks = max(1, -(-rows.count() // TASK_NODES))
+    small = (F.col("blocks0") == 1) & (F.col("blocks1") == 1)
+    task = F.when(small, F.pmod(F.xxhash64("branch"), F.lit(tasks))).otherwise(F.xxhash64("branch", lo, hi))
+    dealt = dealt.select(task.alias("task"), "branch", lo.alias("lo"), hi.alias("hi"), "node", "group")
+    dealt = dealt.join(nodes.select("node", "signature"), "node")
+
+    def run(pdf):
+        out = []
+        for _, g in pdf.groupby(["branch", "lo", "hi"], sort=False):
+            node, group = g["node"].to_numpy(np.int64), g["group"].to_numpy(np.int64)
+            linked = group[:, None] != group[None, :]
+            if linked.any():
+                linked &= agreement(np.frombuffer(b"".join(g["signature"]), np.uint32).reshape(len(g), TREES * DEPTH)) >= least
+                to = node[forest(linked)]
+                out.append(pd.DataFrame({"a": node, "b": to})[to != node])
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
+
+    return dealt.groupBy("task").applyInPandas(run, "a long, b long").distinct()
+
+
+def _blocks(n: Column, size: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(n / size)).cast("int")
+
+
+def agreement(signature: np.ndarray) -> np.ndarray:
+    """Share of equal values of every pair of signatures."""
+    same = np.zeros((len(signature), len(signature)), np.uint16)
+    for values in signature.T:
+        same += values[:, None] == values[None, :]
+    return same / signature.shape[1]
+
+
 def components(links: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """(node, label) for the nodes of ``links`` (a, b): label is the smallest
     node of the connected component. Every round writes its table to the
@@ -289,6 +349,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     for depth, trees in steps(threshold, recall):
         likely = similar_signatures(candidates(groups, depth, trees), nodes, threshold - SLACK)
         groups = written(joined_groups(groups, likely, f"groups-{depth}-{trees}"), f"groups-{depth}-{trees}")
+    likely = crowded_links(groups, stop_depth(threshold, recall=recall), threshold - SLACK)
+    groups = written(joined_groups(groups, likely, "groups-crowded"), "groups-crowded")
     verified = written(verify(groups, docs, sketch, threshold), "verified")
     classes = components(verified.select(F.col("node").alias("a"), F.col("other").alias("b")).where("a <> b"), "classes")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))

@@ -85,6 +85,52 @@ def test_large_group_of_near_copies(docs_of, words):
     assert rows(J.contract(docs_of(texts))) == brute(texts)
 
 
+def test_crowded_branches_of_unlike_documents(docs_of):
+    """Pages put together from the same passages (similarity about 0.45), with a
+    pair of 0.8 here and there: a pair's branches hold many others too."""
+    rng = np.random.default_rng(7)
+    slots = 160
+
+    def page(pick):  # a passage is one of two words among four fixed ones, so its five n-grams are its own
+        return " ".join(f"a{i} b{i} c{i} d{i} {'xy'[p]}{i}" for i, p in enumerate(pick))
+
+    picks = [(rng.random(slots) < 0.25).astype(int) for _ in range(1000)]
+    for k in range(60):
+        twin = picks[k].copy()
+        at = rng.choice(slots, 17, replace=False)
+        twin[at] = 1 - twin[at]
+        picks.append(twin)
+    m = np.array(picks)
+    common = m @ m.T + (1 - m) @ (1 - m).T
+    linked = common >= 0.8 * (2 * slots - common)
+    np.fill_diagonal(linked, False)
+    assert linked.sum() >= 120
+    label = J.forest(linked)
+    want = {i: (int(label[i]), int(linked[i].sum())) for i in range(len(m))}
+    got = {r.doc_id: (r.class_id, r.n_links) for r in J.contract(docs_of([(i, page(p)) for i, p in enumerate(picks)])).collect()}
+    assert {i: (got[i], want[i]) for i in want if got[i] != want[i]} == {}
+
+
+@pytest.mark.parametrize("most", [1, 40])
+def test_crowded_links_in_blocks(spark, monkeypatch, most):
+    """All cross-group pairs of a branch meet, however it is cut into blocks."""
+    monkeypatch.setattr(J, "BRANCH", 7)
+    rng = np.random.default_rng(most)
+    base = rng.integers(0, 1 << 32, J.TREES * J.DEPTH, dtype=np.uint32)
+    sigs = []
+    for i in range(60):
+        s = rng.integers(0, 1 << 32, J.TREES * J.DEPTH, dtype=np.uint32)
+        s[: J.DEPTH] = base[: J.DEPTH]
+        sigs.append(s)
+    for k in range(20):  # 59-k is like k
+        sigs[59 - k] = sigs[k].copy()
+        sigs[59 - k][-20:] += np.uint32(1)
+    group = [0 if i < most else i for i in range(60)]
+    nodes = spark.createDataFrame([(i, bytearray(s.tobytes()), g) for i, (s, g) in enumerate(zip(sigs, group))], "node long, signature binary, label long")
+    got = {tuple(sorted((r.a, r.b))) for r in J.crowded_links(nodes, 5, 0.64).collect()}
+    assert got == {(k, 59 - k) for k in range(20)}
+
+
 def test_keep_one(spark, docs_of, words):
     a, b = words(4, 200), words(5, 200)
     texts = [(3, a), (2, edited(a, 50)), (2, edited(a, 50)), (7, b), (None, b), (8, ""), (9, ""), (None, None)]
