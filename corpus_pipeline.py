@@ -23,7 +23,7 @@ from arrearly.llm.common import ship, table, written
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return language_id.keep_known(docs, language_id.learn(language_id.training_rows(docs)))
+    return language_id.keep_known(docs, language_id.learn(language_id.training_rows(docs), most=None))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,3 +81,31 @@ def test_shared_passages_are_not_learned(docs_of):
     # a language with nothing but a shared text is still learned
     samples = L.learn(docs_of([(1, passage, "x"), (2, passage, "y"), (3, passage, "y")]))
     assert samples == {"x": passage, "y": passage}
+
+
+def test_edges_count_as_the_dense_table(monkeypatch):
+    samples = {"x": "the cat sat on the mat and the hat", "y": "le chat est sur la table", "z": "文字 的 文 字 的 of"}
+    texts = ["the cat and 文字 le chat", "的 文字 的", "qqq", "", "the hat" * 400]
+    want = [[phrases(t, samples[lang]) for lang in "xyz"] for t in texts[:4]]
+    dense = L.Model(samples)
+    monkeypatch.setattr(L, "DENSE_CELLS", 300)
+    mixed = L.Model(samples)
+    monkeypatch.setattr(L, "DENSE_CELLS", 0)
+    sparse = L.Model(samples)
+    assert not dense.edges and 0 < len(mixed.edges) < 3 and len(sparse.edges) == 3
+    got = dense.phrases(texts).tolist()
+    assert got[:4] == want and mixed.phrases(texts).tolist() == got and sparse.phrases(texts).tolist() == got
+
+
+def test_any_number_of_languages(docs_of, words):
+    n = L.MAX_LANGUAGES + 6
+    texts = {f"l{i:02d}": " ".join(f"{w}{chr(0x4E00 + i)}{chr(0x5E00 + i)}" for w in words(i, 30).split()) for i in range(n)}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(texts.items())] + [(3, texts["l03"], "l03")] * 2 + [(None, "12", None), (999, None, None)]
+    docs = docs_of(rows)
+    samples = L.learn(docs, most=None)
+    assert len(samples) == n and len(L.language_groups(samples)) > 2
+    whole = L.Model(samples).predict([t for _, t, _ in rows])
+    got = sorted(((r.doc_id, r.lang_pred, round(r.score, 9)) for r in L.predict(docs, samples).collect()), key=repr)
+    assert got == sorted(((r[0], lang, round(x, 9)) for r, lang, x in zip(rows, *whole)), key=repr)
+    assert {r[2] for r in rows if r[2]} == {x[1] for x in got} - {"und"}
+    assert L.contract(docs).count() == len(rows) and L.keep_known(docs, samples).count() == len(rows) - 2
