@@ -316,15 +316,17 @@ def _predict_by_groups(docs: DataFrame, groups: list[dict[str, str]]) -> DataFra
 
 def keep_known(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text has a language. A text with
-    a letter has one in every group of languages, so the first group decides."""
+    a letter has one in every group of languages, so the first group decides;
+    if no language was learned, the letter itself does."""
     first = next(iter(language_groups(samples)), {})
 
     def run(batches):
         for b in batches:
             for lo, hi in text_batches(b.column("text")):
                 part = b.slice(lo, hi - lo)
-                langs, _ = model_of(first).predict(part.column("text").to_pylist())
-                yield part.filter(pa.array([x != UNKNOWN for x in langs]))
+                texts = part.column("text").to_pylist()
+                known = [x != UNKNOWN for x in model_of(first).predict(texts)[0]] if first else [has_letter(t) for t in texts]
+                yield part.filter(pa.array(known))
 
     return docs.mapInArrow(run, docs.schema)
 

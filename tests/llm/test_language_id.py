@@ -109,3 +109,10 @@ def test_any_number_of_languages(docs_of, words):
     assert got == sorted(((r[0], lang, round(x, 9)) for r, lang, x in zip(rows, *whole)), key=repr)
     assert {r[2] for r in rows if r[2]} == {x[1] for x in got} - {"und"}
     assert L.contract(docs).count() == len(rows) and L.keep_known(docs, samples).count() == len(rows) - 2
+
+
+def test_no_language_learned_keeps_texts_with_letters(docs_of):
+    docs = docs_of([(1, "clean text", None), (2, None, None), (3, "12 ?", None), (None, "文", None), (5, "", None)])
+    samples = L.learn(L.training_rows(docs))
+    assert samples == {}
+    assert {(r.doc_id, r.text) for r in L.keep_known(docs, samples).collect()} == {(1, "clean text"), (None, "文")}
