@@ -8,10 +8,13 @@ and turns whose span no longer holds in the last output get no span. The text
 inside a turn's span is found by rendering the same prefix with that turn's
 text empty: what both have in common at either end is the turn's frame.
 
-A conversation of over ``WHOLE_PREFIXES`` turns is rendered in prefixes of its
+A template may declare, by an attribute ``looks_back``, that what a turn adds depends
+on at most so many turns before it. If those are at most ``CONTEXT``, a
+conversation of over ``WHOLE_PREFIXES`` turns is rendered in prefixes of its
 last ``CONTEXT`` turns, so that its cost grows with its length and not with
 the square; the spans are then proved against one rendering of the whole
-conversation, and the full prefixes are rendered if they do not hold.
+conversation, and the full prefixes are rendered if they do not hold. For any
+other template all full prefixes are rendered at every length.
 
 ``sections`` marks turns as ``### role: text</turn>`` and puts a backslash
 before every ``\\``, ``#`` and ``<`` of a text (in a role also ``:``, and a
@@ -60,6 +63,9 @@ def sections(turns: Turns) -> str:
     return "".join(f"### {_role(r)}: {escape(t)}</turn>\n" for r, t in turns)
 
 
+sections.looks_back = 0
+
+
 def parse(formatted: str) -> Turns:
     """The turns of an output of ``sections``; an error if it is none."""
     out, at = [], 0
@@ -102,7 +108,7 @@ def locate(render: Callable[[Turns], str], turns: Turns) -> tuple[str, bool, lis
     """Output, whether history was rewritten, and per turn (start, end, start of
     its text, end of its text) in the output."""
     whole = render(turns)
-    if len(turns) > WHOLE_PREFIXES:
+    if len(turns) > WHOLE_PREFIXES and getattr(render, "looks_back", CONTEXT + 1) <= CONTEXT:
         steps, stable = _steps(render, turns, CONTEXT)
         if not (stable and "".join([render([]), *[s for s, _, _ in steps]]) == whole):
             steps, stable = _steps(render, turns, None)

@@ -52,6 +52,15 @@ def test_templates_that_rewrite_history():
     assert C.locate(counted, [("user", "x")] * 300)[1]
 
 
+@pytest.mark.parametrize("n", [128, 129, 200])
+def test_rewriting_in_prefixes_alone(n):
+    def short_for_tools(turns):  # shows the last 10 turns only while the last one is a tool's
+        return "".join(f"[{r}] {t}\n" for r, t in (turns[-10:] if turns and turns[-1][0] == "tool" else turns))
+
+    turns = [(("user", "tool", "assistant")[i % 3], f"text {i}") for i in range(n - 1)] + [("assistant", "end")]
+    assert C.locate(short_for_tools, turns)[1]
+
+
 def test_query(spark, small):
     conv = small("conversations")
     chats = {}
