@@ -2,7 +2,7 @@
 
 Every document becomes token ids plus an end id; documents over the
 sequence length are cut into full pieces, the first piece taking the
-remainder. Pieces are dealt over shards and each shard packs its own, in
+remainder. Short pieces are dealt over shards and each shard packs its own, in
 falling order of length: of the open sequences in which a piece fits under
 every capacity (tokens, documents, attention cost, the sum of squared piece
 lengths) it takes the one with the smallest weighted norm of what stays free.
@@ -10,12 +10,14 @@ Token ids never move: pieces carry lengths and a checksum, 60 bytes each.
 
 A shard holds about ``SHARD_PIECES`` short pieces (counted first), so a
 task's memory is bounded and at most a few sequences per shard stay partly
-free. Full pieces are sequences of their own and only get a number.
+free. Full pieces are sequences of their own and only get a number, where they
+stand: no group of rows is made of them.
 
 Defined results: a null or empty text is its end id alone; repeated rows are
-packed once each; an empty table gives no rows. Pieces are dealt by a hash of
-(doc_id, checksum, start), so the order of rows does not matter. Sequence ids
-are shard * 2**32 + number.
+packed once each; an empty table gives no rows. Short pieces are dealt by a hash of
+(doc_id, checksum, start), so the order of rows does not matter to them. Sequence ids
+are shard * 2**32 + number; those of full pieces have a negative shard, one
+for each partition of the table of pieces, and follow its order.
 """
 
 from __future__ import annotations
@@ -94,14 +96,14 @@ def pack(found: DataFrame, length: int = LENGTH, max_docs: int = MAX_DOCS, max_a
 
     def fit(key, pdf):
         pdf = pdf.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
-        sizes = pdf["length"].to_numpy(np.int64)
-        full = int((sizes == length).sum())  # sequences of their own, first in this order
-        number, offset = best_fit(sizes[full:], capacity, w)
-        return pdf.assign(sequence=np.concatenate((np.arange(full), number + full)),
-                          offset=np.concatenate((np.zeros(full, np.int64), offset)))[names]
-
-    dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids_crc32", "start", "length"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(fit, PACKED)
+        number, offset = best_fit(pdf["length"].to_numpy(np.int64), capacity, w)
+        return pdf.assign(sequence=number, offset=offset)[names]
+
+    row = found.where(F.col("length") == length).withColumn("row", F.monotonically_increasing_id())  # partition * 2**33 + place
+    full = row.withColumn("shard", -1 - F.shiftright("row", 33)).withColumn("sequence", F.col("row").bitwiseAND(F.lit((1 << 33) - 1)))
+    full = full.withColumn("offset", F.lit(0).cast("long")).select(*names)
+    dealt = found.where(F.col("length") < length).withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids_crc32", "start", "length"), F.lit(shards)))
+    return dealt.groupBy("shard").applyInPandas(fit, PACKED).unionByName(full)
 
 
 def contract(docs: DataFrame) -> DataFrame:

@@ -117,6 +117,16 @@ def test_every_capacity_holds(docs_of, small):
     assert len(got) == found.count()
 
 
+def test_full_pieces_need_no_shard(spark):
+    rows = [(i % 5 if i % 7 else None, i, 0, 1024, 9) for i in range(60)] + [(i, 0, 0, 500, 9) for i in range(6)]
+    found = spark.createDataFrame(rows, P.PIECES).repartition(4)
+    got = P.pack(found, shard_pieces=2).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(rows, key=repr)
+    full, short = [r for r in got if r.length == 1024], [r for r in got if r.length < 1024]
+    assert all(r.shard < 0 and r.offset == 0 for r in full) and all(r.shard >= 0 for r in short)
+    assert len({(r.shard << 32) + r.sequence for r in full}) == 60
+
+
 def test_best_fit_takes_the_tightest():
     number, offset = P.best_fit(np.array([700, 600, 400, 300, 20]), np.array([1024.0, 1024.0, 1e9]), np.array([1.0, 0, 0]))
     assert number.tolist() == [0, 1, 1, 0, 0] or number.tolist()[:4] == [0, 1, 1, 0]
