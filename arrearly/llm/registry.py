@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard_join, language_id, line_dedup, lm_scores, nearest, packing, quality, token_counts
+from . import (
+    chat, decontaminate, divergence, hard_negatives, html_text, jaccard_join, language_id, line_dedup, lm_scores, nearest, packing, quality,
+    token_counts,
+)
 from .common import ship, table
 
 
@@ -26,6 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": _of(lambda docs: token_counts.section_counts(docs, rule="majority"), "documents"),
     "op9_language_id": _of(language_id.contract, "documents"),
     "op10_packing": _of(packing.contract, "documents"),
+    "op11_hard_negatives": _of(hard_negatives.contract, "embeddings"),
+    "op12_html_text": _of(html_text.contract, "pages"),
+    "op13_divergence": _of(divergence.contract, "documents"),
 }
 
 ORACLE: dict[str, str] = {
@@ -34,4 +40,6 @@ ORACLE: dict[str, str] = {
     "op5_jaccard_join": jaccard_join.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op7_chat_format": chat.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op13_divergence": divergence.SQL,
 }
