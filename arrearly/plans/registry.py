@@ -6,6 +6,7 @@ rules) and runs over all of their rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +16,22 @@ from arrearly import schemas
 from arrearly.functions import columns as C
 from arrearly.operators import buckets as BK
 from arrearly.operators import calls as CL
+from arrearly.operators import campaigns as CG
 from arrearly.operators import contacts as CT
+from arrearly.operators import cycles as CY
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators import segments as SG
+from arrearly.operators import stated as ST
 from arrearly.operators.nullsafe import KEY, key_set, not_in, semi
 from arrearly.operators.profile import profile
 from arrearly.params import FIXTURE_AS_OF, Params
 from arrearly.plans import fused, report
-from arrearly.plans.oracle import PRODUCT_SQL, with_rules
+from arrearly.plans.by_dates import report_by_dates
+from arrearly.plans.oracle import PRODUCT_SQL, by_dates, with_rules
+from arrearly.plans.oracle import in_list as _in
 from arrearly.session import scratch_path
-from arrearly.sources import sinks
+from arrearly.sources import by_day, sinks
 from arrearly.sources.tables import LoanTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +73,7 @@ def _table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report-table")
     name = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
     sinks.drop_table(spark, name)
-    sinks.write_table(fused.delinquency_report_fused(_t(spark, sf_dir), P0), name)
+    sinks.write_table(fused.delinquency_report_fused(_t(spark, sf_dir), P0), name, path=f"{path}-files")
     sinks.export_csv(sinks.for_file(spark.table(name)), path, null_value=NULL_MARK)
     sinks.drop_table(spark, name)
     return sinks.read_csv(spark, path, schemas.REPORT, null_value=NULL_MARK)
@@ -90,6 +96,41 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_snapshot(spark, root, P0)
 
 
+# Run dates of one job: month ends, mid-month, the fixture day and a later one.
+RUN_DATES = tuple(dt.date.fromisoformat(d) for d in (
+    "2023-11-30", "2023-12-31", "2024-01-15", "2024-01-31", FIXTURE_AS_OF.isoformat(), "2024-02-29"))
+
+
+def _snapshot_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All run dates by one job, over folders that hold rows of an earlier run."""
+    t = _t(spark, sf_dir)
+    root = scratch_path(spark, "report-many")
+    sinks.write_snapshots(report_by_dates(t, P0, RUN_DATES[:2]).limit(7), root, RUN_DATES[:2])
+    sinks.write_snapshots(report_by_dates(t, P0, RUN_DATES), root, RUN_DATES)
+    return sinks.read_snapshot(spark, root)
+
+
+def _calls_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "calls-by-day")
+    by_day.write_by_day(_t(spark, sf_dir).calls, root, "calls")
+    return by_day.read_days(spark, root, "calls")
+
+
+def _unconnected_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "calls-by-day")
+    by_day.write_by_day(_t(spark, sf_dir).calls, root, "calls")
+    return CL.unconnected_recent(by_day.read_trailing(spark, root, "calls", P0.as_of, P0.unconnected_days), P0)
+
+
+def _campaign_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CG.campaign_group_calls(_t(spark, sf_dir).calls, CG.groups_of(spark, P0))
+
+
+def _stated_contacts(t: LoanTables, p: Params) -> DataFrame:
+    return ST.with_one_contact(LN.loans_base(t.loan_master), t.contacts).select(
+        "customerId", KEY, "mobileNo", "contact_number", "primary_number")
+
+
 def _date_windows(t: LoanTables, p: Params) -> DataFrame:
     return t.calls.select(
         "callDatetime",
@@ -168,11 +209,26 @@ QUERIES: dict[str, Query] = {
     "delinquency_report_fused": _q(fused.delinquency_report_fused),
     "delinquency_report_v0": _q(fused.delinquency_report_v0),
     "profile_report": _q(lambda t, p: profile(fused.delinquency_report_fused(t, p))),
+    "report_by_dates": _q(lambda t, p: report_by_dates(t, p, RUN_DATES)),
+    # rules as stated
+    "stated_cycles": _q(lambda t, p: CY.cycles(t.bucket_flow, p)),
+    "stated_attempts": _q(lambda t, p: CY.cycle_attempts(t.calls, t.bucket_flow, p).select(
+        "*", (F.col("attempt_days") > p.min_early_attempts).alias("enough"))),
+    "stated_ptp_in_cycle": _q(lambda t, p: CY.promise_cycles(t.calls, t.bucket_flow, p)),
+    "stated_segment_b_contact": _q(lambda t, p: ST.segment_b_contact(t.loan_master, t.calls, p)),
+    "stated_no_contact": _q(lambda t, p: ST.no_contact_since_disbursement(t.loan_master, t.calls, p)),
+    "stated_contacts": _q(_stated_contacts),
+    "stated_segments": _q(ST.segment_labels),
+    # campaign groups as data, inputs by day
+    "campaign_group_calls": _campaign_groups,
+    "src_calls_by_day": _calls_by_day,
+    "unconnected_30d_by_day": _unconnected_by_day,
     # sinks
     "sink_csv_roundtrip": _csv_roundtrip,
     "sink_parquet_roundtrip": _parquet_roundtrip,
     "sink_table_roundtrip": _table_roundtrip,
     "snapshot_by_as_of": _snapshot,
+    "snapshot_many_dates": _snapshot_many,
 }
 
 
@@ -290,7 +346,29 @@ _SELECTS: dict[str, str] = {
     "sink_csv_roundtrip": f"SELECT {_file_columns({'province': AWKWARD_PROVINCE})} FROM report",
     "sink_parquet_roundtrip": f"SELECT {_file_columns({})} FROM report",
     "sink_table_roundtrip": f"SELECT {_file_columns({})} FROM report",
+    "stated_cycles": "SELECT * FROM cycles",
+    "stated_attempts": f"SELECT *, attempt_days > {P0.min_early_attempts} AS enough FROM day_attempts",
+    "stated_ptp_in_cycle": "SELECT * FROM promise_cycles",
+    "stated_segment_b_contact": "SELECT * FROM b_contact",
+    "stated_no_contact": "SELECT * FROM silent",
+    "stated_contacts": """SELECT b.customerId, b.loanAccountNumber, b.mobileNo, cd.new_mobile_number AS contact_number,
+          CAST(coalesce(b.mobileNo, cd.new_mobile_number) AS VARCHAR) AS primary_number
+        FROM base b LEFT JOIN cd ON b.customerId = cd.customer_id AND cd.rnk = 1""",
+    "stated_segments": """SELECT loanAccountNumber, CASE WHEN loanAccountNumber IN (SELECT loanAccountNumber FROM stated_a) THEN 'Segment A'
+          WHEN loanAccountNumber IN (SELECT loanAccountNumber FROM stated_b) THEN 'Segment B'
+          WHEN loanAccountNumber IN (SELECT loanAccountNumber FROM stated_c) THEN 'Segment C' ELSE 'NA' END AS Segment FROM base""",
+    "campaign_group_calls": f"""SELECT loanAccountNumber, count(*) FILTER (WHERE campaignName IN ({_in(P0.queue_campaigns)})) AS queue_calls,
+          count(*) FILTER (WHERE campaignName IN ({_in(P0.contact_campaigns)})) AS contact_calls,
+          count(*) FILTER (WHERE campaignName IN ({_in(P0.contact_campaigns)}) AND coalesce(connected, 0) = 0) AS unconnected_contact_calls
+        FROM calls WHERE campaignName IN ({_in((*P0.queue_campaigns, *P0.contact_campaigns))}) GROUP BY loanAccountNumber""",
+    "src_calls_by_day": "SELECT * FROM calls",
+    "unconnected_30d_by_day": "SELECT * FROM unconnected",
     "snapshot_by_as_of": f"SELECT {_REPORT_COLS}, DATE '{P0.as_of_iso}' AS as_of FROM report",
 }
 
-ORACLE: dict[str, str] = {k: with_rules(v, P0) for k, v in _SELECTS.items()}
+_MANY = by_dates(f"SELECT {_REPORT_COLS}, DATE '{{as_of}}' AS as_of FROM report", P0, RUN_DATES)
+
+ORACLE: dict[str, str] = {k: with_rules(v, P0) for k, v in _SELECTS.items()} | {
+    "report_by_dates": _MANY,
+    "snapshot_many_dates": _MANY,
+}

@@ -7,7 +7,10 @@ same files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,11 +18,15 @@ from arrearly.functions import columns as C
 from arrearly.params import Params
 
 RAW_SHEET = "Rawdata"
+CSV_RECORDS = 1_000_000  # rows of a CSV file; some 250 MB of the report
 
 
-def write_table(df: DataFrame, name: str) -> None:
-    """Drop-if-exists + create-table-as-select in one overwrite."""
-    df.write.mode("overwrite").saveAsTable(name)
+def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Drop-if-exists + create-table-as-select in one overwrite. With ``path`` the
+    table's files lie there (an external table, whose files a drop leaves);
+    without, in the catalog's warehouse, which on a cluster must be shared."""
+    w = df.write.mode("overwrite")
+    (w.option("path", path) if path else w).saveAsTable(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -32,8 +39,11 @@ def _csv_options(header: bool, sep: str, null_value: str) -> dict:
             "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", null_value: str = "") -> None:
-    """Sharded CSV export (one file per partition), overwriting ``path``.
+def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", null_value: str = "",
+               max_records: int = CSV_RECORDS) -> None:
+    """Sharded CSV export, overwriting ``path``: files of at most ``max_records``
+    rows, however large a partition is. A file with line ends inside values cannot be split
+    by a reader, so this bounds what one task reads back.
 
     Quotes inside a value are doubled, blanks at its ends stay, and a value
     with a separator, quote or line end is quoted, as other tools read it.
@@ -42,13 +52,13 @@ def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", nu
     to NULL unless a distinct ``null_value`` marker (e.g. ``\\N``) is used on
     both sides, which makes the round trip lossless.
     """
-    df.write.mode("overwrite").options(**_csv_options(header, sep, null_value)).csv(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).options(**_csv_options(header, sep, null_value)).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ",",
              null_value: str = "") -> DataFrame:
     """Read an export back with its fixed schema (no inference). Values may
-    hold line ends, so a file is read by one task: keep exports sharded."""
+    hold line ends, so a file is read by one task; ``export_csv`` bounds its rows."""
     options = _csv_options(header, sep, null_value) | {"multiLine": True, "lineSep": "\n"}
     return spark.read.schema(schema).options(**options).csv(path)
 
@@ -71,11 +81,38 @@ def write_raw_dataset(df: DataFrame, root: str) -> str:
     return path
 
 
+def write_snapshots(df: DataFrame, root: str, dates: Iterable[dt.date], column: str = "as_of") -> dict[dt.date, int]:
+    """Dated outputs of several run dates in one job: the folders ``as_of=<date>`` of
+    ``dates`` are replaced, other dates stay. Returns the rows per date.
+
+    The rows are staged next to the output and moved when the whole job has succeeded
+    (dynamic partition overwrite), so a job that fails or is killed half way
+    leaves the old data. A date without rows ends empty: its rows are counted by the
+    write itself, and only then its folder is replaced by an empty one. Rows of
+    another date are an error, before anything is replaced."""
+    days = sorted(set(dates))
+    spark = df.sparkSession
+    seen = Observation()
+    counts = [F.count_if(F.col(column) == F.lit(d)).alias(d.isoformat()) for d in days]
+    known = F.coalesce(F.col(column).isin([F.lit(d) for d in days]), F.lit(False))
+    checked = df.withColumn(column, F.when(known, F.col(column)).otherwise(
+        F.raise_error(F.concat(F.lit("not a run date of this write: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL"))))))
+    # Files of a date are balanced by size: no small file per task and date, no hot date in one task.
+    rows = checked.hint("rebalance", F.col(column)).observe(seen, *counts)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+    written = {d: seen.get.get(d.isoformat(), 0) or 0 for d in days}
+    empty = spark.createDataFrame([], df.drop(column).schema)
+    for d, n in written.items():
+        if not n:
+            write_parquet(empty, f"{root.rstrip('/')}/{column}={d.isoformat()}")
+    return written
+
+
 def write_snapshot(df: DataFrame, root: str, p: Params) -> None:
     """One dated output per run: the folder ``as_of=<date>`` is replaced as a
-    whole, so re-running a date is idempotent (also with no rows at all) and
-    other dates stay."""
-    write_parquet(df, f"{root.rstrip('/')}/as_of={p.as_of_iso}")
+    whole once the new rows are complete, so re-running a date is idempotent (also
+    with no rows at all), a failed run leaves the old rows, and other dates stay."""
+    write_snapshots(df.withColumn("as_of", F.lit(p.as_of)), root, [p.as_of])
 
 
 def read_snapshot(spark: SparkSession, root: str, p: Params | None = None) -> DataFrame:

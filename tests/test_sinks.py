@@ -204,3 +204,78 @@ def test_catalog_tables_roundtrip(spark, sf0001):
     assert _same(fused.delinquency_report_fused(back, Params.of(FIXTURE_AS_OF)), fused.delinquency_report_fused(t, Params.of(FIXTURE_AS_OF)))
     for name in names.values():
         sinks.drop_table(spark, name)
+
+
+def _dated(spark, rows):
+    return spark.createDataFrame([(i, dt.date.fromisoformat(x)) for i, x in rows], "i int, as_of date")
+
+
+def _days(spark, root):
+    return sorted((r.i, r.as_of.isoformat()) for r in sinks.read_snapshot(spark, root).collect())
+
+
+def test_many_dates_by_one_job(spark):
+    root = scratch_path(spark, "t-many")
+    a, b, c = (dt.date(2024, 1, x) for x in (1, 2, 3))
+    assert sinks.write_snapshots(_dated(spark, [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")]), root, [a, b]) == {a: 1, b: 2}
+    # dates present are replaced, others stay; a date without rows ends empty
+    assert sinks.write_snapshots(_dated(spark, [(4, "2024-01-02"), (5, "2024-01-03")]), root, [b, c]) == {b: 1, c: 1}
+    assert _days(spark, root) == [(1, "2024-01-01"), (4, "2024-01-02"), (5, "2024-01-03")]
+    assert sinks.write_snapshots(_dated(spark, [(6, "2024-01-03")]), root, [b, c]) == {b: 0, c: 1}
+    assert _days(spark, root) == [(1, "2024-01-01"), (6, "2024-01-03")]
+    assert sinks.write_snapshots(_dated(spark, []), root, [c]) == {c: 0} and _days(spark, root) == [(1, "2024-01-01")]
+
+
+def test_a_failed_write_leaves_the_old_rows(spark):
+    from pyspark.sql import functions as F
+
+    root = scratch_path(spark, "t-killed")
+    a, b = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    sinks.write_snapshots(_dated(spark, [(1, "2024-01-01"), (2, "2024-01-02")]), root, [a, b])
+
+    @F.udf("int")
+    def dies(i):
+        if i == 700:
+            raise RuntimeError("lost")
+        return i
+
+    rows = spark.range(1000).select(dies(F.col("id").cast("int")).alias("i"), F.when(F.col("id") < 500, F.lit(a)).otherwise(F.lit(b)).alias("as_of")).repartition(8)
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_snapshots(rows, root, [a, b])
+    assert _days(spark, root) == [(1, "2024-01-01"), (2, "2024-01-02")]
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_snapshot(rows.drop("as_of"), root, Params.of(b))
+    # a row of a date that the write does not name
+    for stray in ("2024-05-05", None):
+        wrong = spark.createDataFrame([(9, a), (8, dt.date.fromisoformat(stray) if stray else None)], "i int, as_of date")
+        with pytest.raises(Exception, match="not a run date"):
+            sinks.write_snapshots(wrong, root, [a, b])
+    assert _days(spark, root) == [(1, "2024-01-01"), (2, "2024-01-02")]
+    sinks.write_snapshots(_dated(spark, [(7, "2024-01-02")]), root, [b])  # and the next run works
+    assert _days(spark, root) == [(1, "2024-01-01"), (7, "2024-01-02")]
+
+
+def test_csv_files_are_bounded(spark):
+    import glob
+
+    df = spark.range(1000).selectExpr("id AS i", "concat('a', chr(10), id) AS v").coalesce(1)
+    path = scratch_path(spark, "t-bounded")
+    sinks.export_csv(df, path, max_records=64)
+    files = glob.glob(f"{path.removeprefix('file:')}/part-*.csv")
+    assert len(files) == 16  # 1000 rows of one partition, 64 a file
+    back = sinks.read_csv(spark, path, df.schema)
+    assert back.rdd.getNumPartitions() > 1 and _same(df, back)
+
+
+def test_table_with_its_own_location(spark):
+    import os
+
+    path = scratch_path(spark, "t-located")
+    df = spark.range(5)
+    for _ in range(2):  # replaced, not appended
+        sinks.write_table(df, "located_report", path=path)
+    assert spark.table("located_report").count() == 5 and os.path.isdir(path.removeprefix("file:"))
+    where = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED located_report").collect()}["Location"]
+    assert where.rstrip("/").endswith(path.rstrip("/").rsplit("/", 1)[-1])
+    sinks.drop_table(spark, "located_report")
+    assert spark.read.parquet(path).count() == 5
