@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from arrearly.session import shared_dir
 
@@ -189,3 +190,13 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
+
+
+def map_rows(df: DataFrame, fn, schema: StructType | None = None) -> DataFrame:
+    """``mapInArrow`` that also takes columns with dots or backticks in their names,
+    which ``mapInArrow`` itself cannot resolve: they travel under other names.
+    ``schema`` is that of the result (None: of ``df``), where such columns must keep their place."""
+    schema = schema or df.schema
+    hard = {c: f"__col_{i}" for i, c in enumerate(df.columns) if "." in c or "`" in c}
+    inside = StructType([StructField(hard.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    return df.toDF(*[hard.get(c, c) for c in df.columns]).mapInArrow(fn, inside).toDF(*schema.names)

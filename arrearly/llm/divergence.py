@@ -131,7 +131,8 @@ def skyband(n: np.ndarray, lang_n: np.ndarray, place: np.ndarray, k: int) -> np.
 def _skyband_rows(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     place = np.empty(len(pdf), np.int64)
     place[sorted(range(len(pdf)), key=[utf8(t) for t in pdf["term"]].__getitem__)] = np.arange(len(pdf))
-    return pdf.iloc[skyband(pdf["n"].to_numpy(), pdf["lang_n"].to_numpy(), place, k)]
+    own = pdf.iloc[skyband(pdf["n"].to_numpy(), pdf["lang_n"].to_numpy(), place, k)]
+    return own.astype({c: object for c in ("lang", "source", "term")})  # plain strings: large groups come in several Arrow chunks
 
 
 def _kept(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
@@ -177,13 +178,14 @@ def _pairs(shares: DataFrame, groups: DataFrame, bucket: int, tile: int) -> Data
         grid[np.searchsorted(numbers, rest["number"].to_numpy()), column] = rest["share"].to_numpy(np.int64)
         in_tile = (numbers - 1) // tile
         source, base = known["source"].to_numpy(object), known["share"].to_numpy(np.int64)
-        out = []
+        out: list[list] = [[], [], [], []]
         for i in np.flatnonzero(in_tile == key[1]).tolist():
             js = np.flatnonzero((in_tile == key[2]) & (numbers > numbers[i]))
-            if len(js):
-                own = np.abs(grid[js] - grid[i]).sum(axis=1) - np.abs(base[js] - base[i]) * len(names)
-                out.append(pd.DataFrame({"lang": key[0], "a": source[i], "b": source[js], "part": own, "gap": np.abs(base[js] - base[i])}))
-        return pd.concat(out) if out else pd.DataFrame({"lang": [], "a": [], "b": [], "part": [], "gap": []})
+            gap = np.abs(base[js] - base[i])
+            own = np.abs(grid[js] - grid[i]).sum(axis=1) - gap * len(names)
+            for held, new in zip(out, ([source[i]] * len(js), source[js].tolist(), own.tolist(), gap.tolist())):
+                held += new
+        return pd.DataFrame(dict(zip(("a", "b", "part", "gap"), out))).assign(lang=key[0])[["lang", "a", "b", "part", "gap"]].astype(object)
 
     parts = cells.groupBy("lang", "low", "high", "bucket").applyInPandas(sums, "lang string, a string, b string, part long, gap long")
     both = (parts.groupBy("lang", "a", "b").agg(F.sum("part").alias("part"), F.max("gap").alias("gap"))

@@ -21,7 +21,7 @@ space, blocks are trimmed and joined by two newlines; ``br`` is white space.
 
 Markup may be broken: unclosed elements end with their parent, stray end tags
 are ignored, a tag, comment, script or style cut off by the page's end hides the
-rest, as in a browser. If no text is left (a page whose whole body bears a
+rest, as in a browser; a quote that is never closed ends with its tag. If no text is left (a page whose whole body bears a
 word of furniture), the page is read again by elements alone, without class and id, and then with forms as text
 (a page that is one form).
 
@@ -43,6 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import map_rows
+
 WINDOW = 3
 SURGE = 80
 BATCH_BYTES = 4 << 20
@@ -191,8 +193,8 @@ def lines(page: str, hints: bool = True, forms: bool = True) -> tuple[list[tuple
         if not tag:
             continue
         if m.group(1):
-            if tag in BLOCK:
-                flush()
+            if tag == "p":
+                flush()  # also without an open one, where it stands for an empty paragraph
             end(tag, _ALL if tag in ("table", "html", "body") else _TABLE)
             continue
         attributes = m.group(3)
@@ -274,7 +276,7 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", n_chars: s
 
     def run(batches):
         for b in batches:
-            column = b.column(html)
+            column = b.column(len(others))
             lo, size, out = 0, 0, []
             for i in range(b.num_rows):
                 page = column[i].as_py()
@@ -283,11 +285,12 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", n_chars: s
                 if size > BATCH_BYTES or i + 1 == b.num_rows:
                     part = b.slice(lo, i + 1 - lo)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(f.name) for f in others] + [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
-                        names=[*(f.name for f in others), text, n_chars])
+                        [part.column(i) for i in range(len(others))] + [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
+                        names=[*part.schema.names[: len(others)], text, n_chars])
                     lo, size, out = i + 1, 0, []
 
-    return pages.select(*[F.col(f"`{f.name}`") for f in others], F.col(f"`{html}`")).mapInArrow(run, schema)
+    quoted = lambda name: F.col("`" + name.replace("`", "``") + "`")
+    return map_rows(pages.select(*[quoted(f.name) for f in others], quoted(html)), run, schema)
 
 
 def contract(pages: DataFrame) -> DataFrame:

@@ -1,0 +1,144 @@
+"""The source audit against counting in plain Python."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from arrearly.llm import divergence as D
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+
+
+def brute(rows, min_docs, top):
+    """rows: (text, lang, source)."""
+    rows = [(t or "", l or "", s or "") for t, l, s in rows]
+    found = [(l, s, Counter(x.translate(LOWER) for x in TERM.findall(t))) for t, l, s in rows]
+    groups = sorted({(l, s) for _, l, s in rows})
+    out = []
+    for lang in {l for l, _ in groups}:
+        df, total, own = Counter(), Counter(), defaultdict(Counter)
+        for l, s, c in found:
+            if l == lang:
+                df.update(c.keys())
+                total.update(c)
+                own[s].update(c)
+        kept = sorted((t for t in df if df[t] >= min_docs), key=lambda t: t.encode())
+        sources = [s for l, s in groups if l == lang]
+
+        def shares(c):
+            n = sum(c[t] for t in kept)
+            return [1 + 10**9 * (c[t] + 5) // (n + 5 * len(kept)) for t in kept]
+
+        q, p = shares(total), {s: shares(own[s]) for s in sources}
+        for s in sources:
+            pairs = sorted(((-sum(abs(a - b) for a, b in zip(p[s], p[o])), o.encode(), o) for o in sources if o != s))
+            out += [(lang, s, "pair", o, -v, r) for r, (v, _, o) in enumerate(pairs, 1)]
+            terms = sorted((-(a - b), t.encode(), t) for t, a, b in zip(kept, p[s], q) if own[s][t] and a > b)
+            out += [(lang, s, "term", t, -v, r) for r, (v, _, t) in enumerate(terms[:top], 1)]
+    return sorted(out)
+
+
+def corpus(seed, n=120, sources=4):
+    rng = random.Random(seed)
+    words = [a + b for a in ("ka", "lo", "Mi", "né", "ru") for b in ("", "x", "Ü", "文")]
+    rows = []
+    for i in range(n):
+        s = rng.randrange(sources)
+        own = words[s:] if rng.random() < 0.5 else words
+        rows.append((rng.choice([" ", ", ", "-", "7"]).join(rng.choice(own) for _ in range(rng.randint(0, 40))), rng.choice(["en", "de", None]), f"s{s}"))
+    return rows
+
+
+def table(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    return df.selectExpr("*", "1 AS n", "2 AS term", "3 AS p", "'x' AS part", "4 AS bucket").repartition(3)
+
+
+def audited(spark, rows, **kw):
+    return sorted(map(tuple, D.audit(table(spark, rows), **kw).collect()))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_equals_plain_counting(spark, docs_of, seed):
+    rows = corpus(seed)
+    want = brute(rows, 5, 6)
+    assert {r[2] for r in want} == {"pair", "term"}
+    assert audited(spark, rows, min_docs=5, top=6) == want
+
+
+def test_small_buckets_tiles_and_parts_give_the_same(spark, docs_of):
+    rows = corpus(9, n=150, sources=7)
+    assert audited(spark, rows, min_docs=4, top=3, bucket=3, tile=2, part=2) == brute(rows, 4, 3)
+
+
+def test_groups_of_many_arrow_batches(spark, docs_of):
+    rows = corpus(3, n=90, sources=3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert audited(spark, rows, min_docs=3, top=4) == brute(rows, 3, 4)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_nulls_empty_texts_ties_and_repeated_rows(spark, docs_of):
+    rows = [("a b b", "en", "x"), ("a b b", "en", "x"), ("a c", "en", "y"), ("c", "en", None), (None, "en", "z"), ("", "en", "w"), ("a", None, None),
+            ("A\x00É é", None, "x"), ("1 2 3", "fr", "q"), (None, None, None), ("b c a d", "en", "y"), ("only", "it", "alone")]
+    for least in (1, 2, 3, 50):
+        assert audited(spark, rows, min_docs=least, top=2) == brute(rows, least, 2), least
+
+
+def test_one_source_holds_most_rows_and_one_text_is_very_long(spark, docs_of):
+    rows = [("hot common word", "en", "hot")] * 300 + [("rare common word", "en", f"s{i % 5}") for i in range(40)]
+    rows += [(" ".join(f"w{chr(97 + i % 20)}" for i in range(60_000)), "en", "long")]
+    assert audited(spark, rows, min_docs=1, top=4) == brute(rows, 1, 4)
+
+
+def test_empty_table(spark, docs_of):
+    assert audited(spark, []) == []
+
+
+def test_pieces_never_cut_a_term():
+    text = b"  ab cde   f " * 50
+    for most in (1, 2, 5, 7, 100):
+        got = list(D.pieces(text, most))
+        assert b"".join(got) == text and [w for p in got for w in p.split()] == text.split()
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_skyband_by_hand(k):
+    rng = random.Random(k)
+    n = np.array([rng.randrange(6) for _ in range(700)])
+    lang = np.array([rng.randrange(6) for _ in range(700)])
+    place = np.array(rng.sample(range(700), 700))
+    want = []
+    for i in range(700):
+        over = sum(1 for j in range(700) if j != i and n[j] >= n[i] and lang[j] <= lang[i] and place[j] < place[i])
+        if over < k:
+            want.append(i)
+    assert sorted(D.skyband(n, lang, place, k).tolist()) == want
+    # merging the skybands of parts and taking the skyband again is the skyband of all
+    parts = np.concatenate([at[D.skyband(n[at], lang[at], place[at], k)] for at in np.array_split(np.arange(700), 4)])
+    assert sorted(parts[D.skyband(n[parts], lang[parts], place[parts], k)].tolist()) == want
+
+
+def test_shares_of_large_counts(spark, docs_of):
+    row = spark.createDataFrame([(4 * 10**17, 8 * 10**18, 10**6)], "n long, total long, v long").select(D.share("n", "total", "v").alias("p")).first()
+    assert row.p == 1 + 10**9 * (4 * 10**17 + 5) // (8 * 10**18 + 5 * 10**6)
+
+
+def test_contract_against_sql_and_plain(spark, small, sf0001):
+    docs = small("documents")
+    got = sorted(map(tuple, D.contract(docs).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf0001}/documents.parquet')")
+    assert got == sorted(con.execute(D.SQL).fetchall())
+    assert got == brute([(r.text, r.lang, r.source) for r in docs.collect()], D.MIN_DOCS, D.TOP)
+

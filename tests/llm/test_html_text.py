@@ -1,0 +1,112 @@
+"""Main text of pages: fixed layouts, broken markup, and the given pages read plainly."""
+
+from __future__ import annotations
+
+import html
+import re
+import time
+
+import numpy as np
+import pytest
+
+from arrearly.llm import html_text as H
+
+L = "Lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore."
+
+
+def plain(page: str) -> str:
+    """The given pages have one layout: what is between the article's tags."""
+    own = re.sub(r"<br>", " ", page.split("<article>", 1)[1].split("</article>", 1)[0])
+    blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", own)]
+    return "\n\n".join(b for b in blocks if b)
+
+
+def test_given_pages(spark, small):
+    pages = {r.page_id: r.html for r in small("pages").collect()}
+    got = H.contract(small("pages")).collect()
+    assert len(got) == len(pages) > 0
+    for r in got:
+        assert r.text == plain(pages[r.page_id]) and r.n_chars == len(r.text)
+
+
+LAYOUTS = {
+    "furniture by element": (
+        f"<header><p>Site {L}</header><nav><a href=x>Home</a></nav><main><header><h1>Title</h1></header><p>{L}</p><p>End.</p></main>"
+        f"<aside>{L}</aside><form><label>mail</label><p>{L}</p></form><footer>{L}</footer>", f"Title\n\n{L}\n\nEnd."),
+    "furniture by class": (
+        f'<body class="has-sidebar"><div id="header"><a href=/>Home</a></div><div class="menu"><ul><li><a>One</a><li><a>Two</a></ul></div>'
+        f'<div id="content"><h1>Head</h1><p>{L}<p>Short.<p>{L}</div><div class="sidebar"><p>{L}</div><div class="comments"><p>{L}</div>'
+        f"<div id=footer>(c) x</div>", f"Head\n\n{L}\n\nShort.\n\n{L}"),
+    "links by density alone": (
+        f"<div><a>A</a> <a>B</a></div><div><a>x</a></div><div><a>y</a></div><div><h1>Title here</h1><p>{L}</p><p>{L} <a href=q>more</a></p></div>"
+        "<ul><li><a>1</a></li><li><a>2</a></li><li><a>3</a></li><li><a>4</a></li></ul><p>tail</p>", f"Title here\n\n{L}\n\n{L} more"),
+    "links inside the text stay": (f"<p>{L}</p><p><a>only a link</a></p><p>{L}</p>", f"{L}\n\nonly a link\n\n{L}"),
+    "notice, advert and comments inside the article": (
+        f'<article><p>{L}</p><div class="cookie-notice"><p>We use</p></div><p>Middle.</p><div class="ad">Buy</div><p>End.</p>'
+        f'<section id="reader-comments"><p>{L}</p></section><article class="comment"><p>me too</p></article></article>', f"{L}\n\nMiddle.\n\nEnd."),
+    "wrapper that only its class calls furniture": (f'<div class="page banner"><article><p>{L}</p></article></div><div>{L}</div>', L),
+    "all of the body bears a word": (f'<div class="widget"><p>{L}</p></div>', L),
+    "page that is a form": (f"<form><p>{L}</p><input type=text><p>more</p></form>", f"{L}\n\nmore"),
+    "hidden and roles": (f'<p hidden>no</p><div role="navigation">menu</div><div aria-hidden="true">no</div><p>{L}</p><div role=complementary>side</div>', L),
+    "article by itemprop": (f'<div>{L}</div><div itemprop="articleBody"><p>Body.</p></div><p>{L}</p>', "Body."),
+    "short article beside long furniture": (f"<nav>{L}{L}</nav><article><p>Yes.</p></article><div>{L}{L}{L}</div>", "Yes."),
+    "references": ("<p>a &amp; b &lt;i&gt; &#x41;&#66; c&nbsp;d &copy &am &unknown; 1 < 2</p>", "a & b <i> AB c d © &am &unknown; 1 < 2"),
+    "white space": ("<p>  a\n\t b<br>c <b>d</b>e  </p>\n\n<p> </p><p>f</p>", "a b c de\n\nf"),
+    "raw elements": ('<p>a<script>if (a<b) "</p>";</script>b</p><style>p{}</style><noscript><p>n</p></noscript><textarea><p>t</textarea><p>c', "ab\n\nc"),
+    "comment and unclosed comment": ("<p>a<!-- x > <p>y --> b</p><p>c</p><!-- open <p>d</p>", "a b\n\nc"),
+    "cut off": ("<article><p>a <b>x<p>tail <a hre", "a x\n\ntail"),
+    "unclosed script": ("<p>a</p><script>x <p>b</p>", "a"),
+    "quotes": ("""<p title=don't>it's</p><a title="a > b" href='>'>x</a> y <p class="z>w</p>""", "it's\n\nx y\n\nw"),
+    "stray end tags": ("</div></p><p>a</section></b>b</p></main>", "ab"),
+    "table cells": ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+    "nothing": ("", ""), "only furniture": ("<nav>x</nav><script>y</script>", ""), "only text": ("just text", "just text"),
+    "null byte and astral": ("<p>a\x00b \U0001f600</p>", "a\x00b \U0001f600"),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts(name):
+    page, want = LAYOUTS[name]
+    assert H.main_text(page) == want
+
+
+def test_null_page():
+    assert H.main_text(None) == ""
+
+
+def test_stretches_by_hand():
+    lengths = np.array([0, 0, 5, 0, 9, 0, 0, 0, 7, 0])
+    assert H.stretches(lengths, 3) == [(2, 5, 14), (8, 9, 7)]
+    assert H.stretches(lengths, 4) == [(2, 9, 14)]
+    assert H.stretches(np.zeros(4, np.int64)) == [] and H.stretches(np.zeros(0, np.int64)) == []
+
+
+def test_surge_decides_without_an_article():
+    gap = "<nav>menu</nav>"
+    page = f"<p>Tiny.</p>{gap}<p>{L}</p><p>Short.</p>{gap}<p>{L}</p>{gap}<p>Odd.</p>"
+    assert H.main_text(page) == f"{L}\n\nShort.\n\n{L}"
+    assert H.main_text(page, surge=1) == f"Tiny.\n\n{L}\n\nShort.\n\n{L}\n\nOdd."
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<div>", "<a href=\"", "<p>", "<", "<!--", "<li>x", "&", "<script>", "<td>", "</p>", "<a>x"])
+def test_repeated_broken_markup_ends(piece):
+    start = time.time()
+    H.main_text(piece * 30_000)
+    assert time.time() - start < 20
+
+
+def test_very_long_page(spark, docs_of):
+    page = "<article>" + f"<p>{L}</p>" * 20_000 + "</article>"
+    rows = [(1, page, "u"), (2, None, None), (None, "<p>x</p>", "u"), (2, "", "v"), (2, "", "v")]
+    df = spark.createDataFrame(rows, "page_id long, html string, url string").selectExpr("*", "'old' AS text", "7L AS n_chars", "1 AS `a.b`").repartition(2)
+    got = {(r.page_id, r.url): r for r in H.extract(df).collect()}
+    assert got[1, "u"].text == "\n\n".join([L] * 20_000) and got[1, "u"].n_chars == len(got[1, "u"].text)
+    assert got[2, None].text == "" and got[None, "u"].text == "x" and got[2, "v"].n_chars == 0
+    assert H.extract(df).count() == 5
+    assert set(H.extract(df).columns) == {"page_id", "url", "a.b", "text", "n_chars"}
+    assert set(H.extract(df, text="body", n_chars="size").columns) == {"page_id", "url", "text", "n_chars", "a.b", "body", "size"}
+
+
+def test_empty_table(spark, docs_of):
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    assert H.contract(df).collect() == [] and H.contract(df).columns == ["page_id", "url", "text", "n_chars"]
