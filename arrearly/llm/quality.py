@@ -8,23 +8,25 @@ besides, and a token equal to its predecessor is ``<same>``, so shouting and
 repetition are n-grams like others. A feature's value is its share of the text's
 n-grams times ``SCALE``; a text without tokens has the bias alone.
 
-Training (FTRL-proximal, per-coordinate rates) uses at most ``TRAIN_ROWS``
-labelled rows, those of the labels with the smallest hash of doc_id, whole texts. They are
+Training (FTRL-proximal, per-coordinate rates) uses a bounded sample of labelled
+documents, whole texts: those with the smallest hash of doc_id among the labelled ids that
+have a document, at most ``TRAIN_ROWS`` of them, none over ``TEXT_BYTES``, and
+``TRAIN_BYTES`` in all. The sample is chosen by ids and sizes; only its texts move. They are
 dealt to ``TRAIN_SHARDS`` tasks that each see every feature of their rows for
 ``EPOCHS`` passes; the mean of their weights is the model, 2**BITS floats,
 which is broadcast. Scores read only the text.
 
 Defined results: null and empty texts get the bias's score; without any
 labelled row all scores are 0.5; labels without a document, null labels and
-null doc_ids do not train; a doc_id labelled twice trains with its largest
-label; repeated documents repeat. Only doc_id, text and quality are read.
+null doc_ids do not train and displace no one; a doc_id labelled twice trains with its largest
+label, and one with several rows with its smallest text; repeated documents repeat in the scores. Only doc_id, text and quality are read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import M3, arrow_map, crc_mod, mix, span_hashes, text_batches
@@ -32,6 +34,8 @@ from .common import M3, arrow_map, crc_mod, mix, span_hashes, text_batches
 BITS = 18
 SCALE = 16.0
 TRAIN_ROWS = 8_000
+TRAIN_BYTES = 128 << 20
+TEXT_BYTES = 1 << 20
 TRAIN_SHARDS = 4
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.01, 1.0
@@ -101,13 +105,27 @@ def train(texts: list[str], labels: list[int], bits: int = BITS, epochs: int = E
     return weights(z, n)
 
 
+def sample(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, most: int = TRAIN_BYTES,
+           longest: int = TEXT_BYTES) -> DataFrame:
+    """(doc_id, y): the documents to learn from (see above), ``rows`` at most."""
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
+             .select(F.col("doc_id").cast("long").alias("doc_id"), "y"))
+    # Ids alone decide who is in the corpus, so labels of other documents take no place.
+    here = docs.where(F.col("doc_id").isNotNull() & (F.octet_length(F.coalesce("text", F.lit(""))) <= longest)).groupBy("doc_id").agg(
+        F.max(F.octet_length(F.coalesce("text", F.lit("")))).alias("size"))
+    chosen = known.join(here, "doc_id").orderBy(*order).limit(rows)
+    sofar = F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))  # over ``rows`` pairs of numbers at most
+    return chosen.withColumn("sofar", sofar).where(F.col("sofar") <= most).select("doc_id", "y")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, shards: int = TRAIN_SHARDS) -> np.ndarray:
     """The model of a bounded sample of labelled rows (see above)."""
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    known = sample(docs, labels, label, rows)
     # ``rows`` pairs of numbers at most, so a broadcast is bounded, and only the texts of the sample move.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows)
-    dealt = chosen.withColumn("shard", F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(shards)))
+    texts = docs.where(F.octet_length(F.coalesce("text", F.lit(""))) <= TEXT_BYTES).select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    once = texts.groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    dealt = once.withColumn("shard", F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(shards)))
 
     def one(pdf):
         pdf = pdf.sort_values("doc_id")
