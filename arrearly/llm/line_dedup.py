@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 MIN_CHARS = 10
 SALTS = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+HAS_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -89,10 +90,14 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
             .drop("__line_doc", "__line_hash", "__line_bitmap", "__line_n"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     """``docs`` (its own columns) with the kept text; ``n_chars`` follows the
-    text where there is such a column. A null text stays null."""
+    text where there is such a column. A null text stays null.
+    ``drop_emptied``: documents that lost lines and keep no word (all they say is in
+    others) go; those that had no word before stay."""
     out = apply_bitmaps(docs, keep_bitmaps(docs))
+    if drop_emptied:
+        out = out.where((F.col("__line_dropped") == 0) | F.col("__line_kept").rlike(HAS_WORD))
     new = {"text": F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("__line_kept"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("__line_dropped") > 0, F.length("__line_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
@@ -110,8 +115,9 @@ SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
 k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM l),
-f AS (SELECT key, min(doc_id) AS smallest FROM k WHERE length(key) >= {MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
-x AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id <> f.smallest AS gone FROM k LEFT JOIN f ON k.key = f.key)
+f AS (SELECT key, min(doc_id) AS smallest, bool_or(doc_id IS NULL) AS nameless FROM k WHERE length(key) >= {MIN_CHARS}
+      GROUP BY key HAVING count(DISTINCT doc_id) + CAST(bool_or(doc_id IS NULL) AS INTEGER) >= 2),
+x AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id IS NOT NULL AND (f.nameless OR k.doc_id <> f.smallest) AS gone FROM k LEFT JOIN f ON k.key = f.key)
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM x GROUP BY rid, doc_id

@@ -50,6 +50,11 @@ EDGES = [
 
 def test_edges(docs_of):
     assert rows(L.contract(docs_of(EDGES))) == brute(EDGES)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", EDGES)
+    # Repeated rows of one doc_id and null ids count the same in both.
+    assert sorted((tuple(r) for r in con.execute(L.SQL).fetchall()), key=repr) == brute(EDGES)
     hot = [(i, f"the one very common line\nown line of document {i}\nthe one very common line") for i in range(3000)]
     assert rows(L.contract(docs_of(hot))) == brute(hot)
 
@@ -63,6 +68,14 @@ def test_bitmaps_and_texts(docs_of):
     assert L.contract(docs.limit(0)).count() == 0 and L.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_emptied_documents_go_if_asked(docs_of):
+    docs = docs_of([(1, "a line that several have\nanother line of many"), (2, "Another line of many\n ... \nA line that several have"),
+                    (3, "a line that several have\nown"), (4, ""), (5, None), (6, "\n--\n"), (7, "a line that several have\n文")])
+    left = {r.doc_id: r.text for r in L.dedup_lines(docs, drop_emptied=True).collect()}
+    assert left == {1: "a line that several have\nanother line of many", 3: "own", 4: "", 5: None, 6: "\n--\n", 7: "文"}
+    assert L.dedup_lines(docs).count() == 7
+
+
 def test_plan_is_native(docs_of):
     plan = L.contract(docs_of(EDGES, extra=False))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "MapIn", "CartesianProduct")) and "rangepartitioning" in plan
