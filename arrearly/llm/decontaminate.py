@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_map, text_batches
+from .common import Words, arrow_map, map_rows, text_batches
 
 WINDOW = 10
 BROADCAST_CHARS = 4_000_000
@@ -194,8 +194,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         same = F.xxhash64("text") == F.col("__hit")
         if remove == "documents":
             return docs.join(hits, same, "left_anti").select(docs.columns)
-        cut = F.udf(lambda t, s: without_spans(t, [{"start": x["start"], "end": x["end"]} for x in s] if s else None))
-        return docs.join(hits, same, "left").withColumn("text", cut("text", "__spans")).select(docs.columns)
+
+        def cut_batches(batches):
+            for b in batches:
+                spans = b.column("__spans").to_pylist()
+                cut = pa.array([without_spans(t, s) for t, s in zip(b.column("text").to_pylist(), spans)], b.schema.field("text").type)
+                b = b.drop_columns(["__spans"])
+                yield b.set_column(b.schema.get_field_index("text"), "text", cut)
+
+        return map_rows(docs.join(hits, same, "left").drop("__hit"), cut_batches, docs.schema)
     known = _broadcast(benchmark, n)
 
     def run(batches):
@@ -211,7 +218,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
                     cut = pa.array([without_spans(t, s) for t, s in zip(texts, got["spans"])], part.schema.field("text").type)
                     yield part.set_column(part.schema.get_field_index("text"), "text", cut)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 def contract(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

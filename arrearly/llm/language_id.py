@@ -32,13 +32,15 @@ import functools
 import itertools
 import math
 import re
+from collections.abc import Collection
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Words, arrow_map, crc_mod, text_batches
+from .common import Words, arrow_map, crc_mod, map_rows, text_batches
 
 SAMPLE_ROWS = 64
 SAMPLE_CHARS = 24_000
@@ -49,6 +51,7 @@ GROUP_LANGUAGES = 32
 DENSE_CELLS = 1 << 21
 SEGMENT = 1024
 UNKNOWN = "und"
+COUNTS = "__lang_phrases"  # a helper column of ``keep_known``
 PREDICTED = "doc_id long, lang_pred string, score double"
 
 
@@ -314,21 +317,72 @@ def _predict_by_groups(docs: DataFrame, groups: list[dict[str, str]]) -> DataFra
     return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text has a language. A text with
-    a letter has one in every group of languages, so the first group decides;
-    if no language was learned, the letter itself does."""
-    first = next(iter(language_groups(samples)), {})
+def keep_known(docs: DataFrame, samples: dict[str, str], keep: Collection[str] | None = None, least: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text has a language: the predicted
+    one, among ``keep`` (None: any learned) and with a score of ``least`` or more. A
+    null ``lang`` becomes the prediction; a given one stays. If no language was
+    learned, texts with a letter stay as they are.
 
-    def run(batches):
+    Each group of languages appends its phrase counts to the row in a pass of its
+    own; the last one decides, so rows stay where they are."""
+    groups = language_groups(samples)
+    fills = "lang" in docs.columns and docs.schema["lang"].dataType == T.StringType()
+
+    def decided(part: pa.RecordBatch, langs, scores) -> pa.RecordBatch:
+        good = [x != UNKNOWN and (keep is None or x in keep) and s >= least for x, s in zip(langs, scores)]
+        if fills and samples:
+            given = part.column("lang").to_pylist()
+            own = pa.array([x if x is not None else y for x, y in zip(given, langs)], pa.string())
+            part = part.set_column(part.schema.get_field_index("lang"), "lang", own)
+        return part.filter(pa.array(good, pa.bool_()))
+
+    def one(batches):
         for b in batches:
             for lo, hi in text_batches(b.column("text")):
                 part = b.slice(lo, hi - lo)
                 texts = part.column("text").to_pylist()
-                known = [x != UNKNOWN for x in model_of(first).predict(texts)[0]] if first else [has_letter(t) for t in texts]
-                yield part.filter(pa.array(known))
+                if groups:
+                    langs, scores = model_of(groups[0]).predict(texts)
+                else:
+                    langs, scores = ["" if has_letter(t) else UNKNOWN for t in texts], [1.0] * len(texts)
+                yield decided(part, langs, scores)
+
+    if len(groups) <= 1:
+        if not groups:
+            keep, least = None, 0.0
+        return map_rows(docs, one)
+
+    def counted(group, batches):
+        for b in batches:
+            for lo, hi in text_batches(b.column("text")):
+                part = b.slice(lo, hi - lo)
+                texts = part.column("text").to_pylist()
+                before = part.column(COUNTS).to_pylist()
+                own = [i for i, t in enumerate(texts) if has_letter(t)]
+                found = model_of(group).phrases([normal(texts[i]) for i in own]).astype(np.int32).tolist() if own else ()
+                for i, x in zip(own, found):
+                    before[i] = before[i] + x
+                yield part.set_column(part.schema.get_field_index(COUNTS), COUNTS, pa.array(before, pa.list_(pa.int32())))
 
-    return docs.mapInArrow(run, docs.schema)
+    names = [x for g in groups for x in g]
+    bits = np.array([math.log2(len(g[x]) + 2) for g in groups for x in g])
+
+    def chosen(batches):
+        for b in batches:
+            found = b.column(COUNTS).to_pylist()
+            langs, scores = [UNKNOWN] * len(found), [0.0] * len(found)
+            own = [i for i, x in enumerate(found) if x]
+            if own:
+                best, score = decide(np.array([found[i] for i in own], np.float64) * bits)
+                for k, i in enumerate(own):
+                    langs[i], scores[i] = names[best[k]], float(score[k])
+            part = b.drop_columns([COUNTS])
+            yield decided(part, langs, scores)
+
+    out = docs.withColumn(COUNTS, F.array().cast("array<int>"))
+    for g in groups:
+        out = map_rows(out, functools.partial(counted, g))
+    return map_rows(out, chosen, docs.schema)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

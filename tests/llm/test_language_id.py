@@ -109,6 +109,23 @@ def test_any_number_of_languages(docs_of, words):
     assert got == sorted(((r[0], lang, round(x, 9)) for r, lang, x in zip(rows, *whole)), key=repr)
     assert {r[2] for r in rows if r[2]} == {x[1] for x in got} - {"und"}
     assert L.contract(docs).count() == len(rows) and L.keep_known(docs, samples).count() == len(rows) - 2
+    asked = docs_of([(i, t, None) for i, (_, t) in enumerate(sorted(texts.items()))] + [(500, texts["l07"], "own"), (501, "7 8", None)])
+    want = {r.doc_id: r.lang_pred for r in L.predict(asked, samples).collect()} | {500: "own"}
+    kept = {r.doc_id: r.lang for r in L.keep_known(asked, samples).collect()}
+    assert kept == {i: x for i, x in want.items() if x != "und"} and len(kept) == n + 1
+    some = {r.doc_id for r in L.keep_known(asked, samples, keep=["l07"]).collect()}
+    assert some == {7, 500}
+    assert L.keep_known(asked, samples, least=1.1).count() == 0
+
+
+def test_kept_languages_and_least_score(docs_of):
+    samples = {"en": "the cat sat on the mat and the hat was on the cat", "fr": "le chat est sur la table et la souris"}
+    docs = docs_of([(1, "the cat and the hat", None), (2, "le chat et la souris", None), (3, "le chat", "en"), (4, "1", None)])
+    assert {r.doc_id: r.lang for r in L.keep_known(docs, samples).collect()} == {1: "en", 2: "fr", 3: "en"}
+    assert {r.doc_id for r in L.keep_known(docs, samples, keep={"fr"}).collect()} == {2, 3}
+    assert L.keep_known(docs, samples, least=1.1).count() == 0
+    # Without a column lang, or with another type of it, nothing is written.
+    assert L.keep_known(docs.drop("lang"), samples).columns == [c for c in docs.columns if c != "lang"]
 
 
 def test_no_language_learned_keeps_texts_with_letters(docs_of):
