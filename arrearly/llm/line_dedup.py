@@ -5,10 +5,14 @@ Texts are split at newlines; a line's key is the line without white space
 (space, tab to carriage return) at its ends and with A-Z lower-cased. Keys of
 at least ``MIN_CHARS`` characters take part, as two 64-bit hashes.
 
-Hash rows (hash, salt of the document, doc_id, position) are
-range-partitioned by hash and salt and sorted by document and position, and
-a stream over each slice tells its first document: lines of later documents go.
-The salt spreads a very frequent line over ``SALTS`` slices. Only the lines of
+Hash rows (hash, doc_id, position) are made of the texts once and written to the shared
+folder; what follows reads those numbers. They are range-partitioned by hash and salt
+and sorted by document and position, and a stream over each slice tells its first
+document: lines of later documents go. A line has salts by its frequency: one that is
+over a ``1 / SLICES`` of all rows is dealt by document over as many slices as it
+has such parts, others stay whole, so no slice is larger. At most ``SLICES`` lines
+are that frequent, which bounds the broadcast that names them; a sketch of frequent
+items finds them, and a mistake of it would change the dealing only. Only the lines of
 first documents (at most one document per slice) meet again by hash, where the
 smallest of them stays. What comes back per document is a keep bitmap in run
 lengths, not text; ``apply_bitmaps`` puts it to the text.
@@ -26,8 +30,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 MIN_CHARS = 10
-SALTS = 16
+SLICES = 1_024
+TRACKED = 16_384  # lines the sketch counts: its error is a small part of a slice
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HAS_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 BLANK = " \t\n\x0b\x0c\r"
@@ -47,18 +54,29 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, salts: int = SALTS) -> DataFrame:
+def frequent_lines(rows: DataFrame, slices: int = SLICES) -> DataFrame:
+    """(h1, salts): lines with over a ``1 / slices`` of the rows, and their number of
+    slices; at most ``slices`` of them."""
+    top = F.call_function("approx_top_k", F.col("h1"), F.lit(slices), F.lit(max(TRACKED, slices)))
+    found = rows.agg(top.alias("top"), F.count(F.lit(1)).alias("all")).select(F.explode("top").alias("t"), "all")
+    salts = F.ceil(F.col("t.count") * slices / F.col("all")).cast("int")
+    return found.select(F.col("t.item").alias("h1"), salts.alias("salts")).where("salts > 1")
+
+
+def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, slices: int = SLICES) -> DataFrame:
     """(doc_id, text_hash, keep_bitmap, n_dropped) of every document that loses
     lines. keep_bitmap: run lengths of kept and dropped lines in turn,
     the first of kept lines; lines beyond the last run are kept."""
     rows = (docs.select("doc_id", _text_hash(F.col("text")).alias("text_hash"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
             .select("doc_id", "text_hash", "pos", line_key(F.col("line")).alias("key"))
             .where(F.length("key") >= min_chars)
-            .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
-                    F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"), "doc_id", "text_hash", "pos"))
-    slices = rows.repartitionByRange("h1", "h2", "salt")
+            .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "text_hash", "pos"))
+    rows = written(rows, "lines")
+    salted = rows.join(F.broadcast(frequent_lines(rows, slices)), "h1", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("salts")), F.lit(0).cast("long")).cast("int")).drop("salts")
+    slices_ = salted.repartitionByRange("h1", "h2", "salt")
     stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "pos")
-    seen = slices.withColumn("first_doc", F.first("doc_id").over(stream))
+    seen = slices_.withColumn("first_doc", F.first("doc_id").over(stream))
     is_first = F.col("doc_id").eqNullSafe(F.col("first_doc"))
     own = ["doc_id", "text_hash", "pos"]
     smallest = F.first("doc_id").over(Window.partitionBy("h1", "h2").orderBy("doc_id"))

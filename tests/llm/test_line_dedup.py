@@ -59,6 +59,17 @@ def test_edges(docs_of):
     assert rows(L.contract(docs_of(hot))) == brute(hot)
 
 
+def test_frequent_lines_are_dealt_by_their_share(spark, docs_of):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 WHEN id % 10 = 1 THEN 8 ELSE id + 100 END AS h1").repartition(4)
+    assert {r.h1: r.salts for r in L.frequent_lines(rows, 20).collect()} == {7: 10, 8: 2}
+    assert L.frequent_lines(rows.limit(0), 20).count() == 0
+    few = [(i, "\n".join(["one very common line"] * (i % 3) + [f"line of three {i % 3}", f"own line number {i}"])) for i in range(400)]
+    for slices in (2, 16, 1024):
+        docs = docs_of(few)
+        got = {r.doc_id: r.n_dropped for r in L.keep_bitmaps(docs, slices=slices).collect()}
+        assert got == {d: n for d, _, n, _ in brute(few) if n}
+
+
 def test_bitmaps_and_texts(docs_of):
     docs = docs_of([(1, "first long line\nb\nsecond long line\n"), (2, "x\nfirst long line\nSecond long line\ny\nsecond LONG line"), (3, None)])
     assert [(r.doc_id, r.keep_bitmap, r.n_dropped) for r in L.keep_bitmaps(docs).collect()] == [(2, [1, 2, 1, 1], 3)]
