@@ -190,15 +190,19 @@ def _score(order: int, backoff: float, leave_out: bool):
     return run
 
 
+def _dealt(docs: DataFrame, block_chars: int, part_chars: int) -> tuple[DataFrame, int]:
+    """Documents dealt to blocks, and the bits of the hash that number a partition."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_to_blocks, "block long, ids array<long>, words binary")
+    return dealt, (chars // part_chars).bit_length()
+
+
 def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, leave_out: bool = True,
           block_chars: int = BLOCK_CHARS, part_chars: int = PART_CHARS) -> DataFrame:
     """One row per document (columns of ``SCORES``): its words, the sum of
     their log10 scores in millionths, and how many backed off."""
-    docs = docs.select("doc_id", "text")
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
-    bits = (chars // part_chars).bit_length()
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).mapInArrow(_to_blocks, "block long, ids array<long>, words binary")
+    dealt, bits = _dealt(docs.select("doc_id", "text"), block_chars, part_chars)
     answers = (dealt.groupBy("block").applyInArrow(_requests(order, bits), "block long, part long, hashes binary, counts binary")
                .groupBy("part").applyInArrow(_totals, "block long, part long, totals binary"))
     scored = written(dealt.groupBy("block").cogroup(answers.groupBy("block"))
@@ -209,6 +213,68 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, leave_o
     return scored.select("doc_id", "n_words", total.alias("micro_log10"), "n_backed_off")
 
 
+def _table(key, tbl):
+    """One hash partition's distinct n-grams with their counts."""
+    hashes = np.concatenate([unpacked_sorted(b) for b in tbl.column("hashes").to_pylist()])
+    counts = np.concatenate([unpacked(b) for b in tbl.column("counts").to_pylist()])
+    distinct, which = np.unique(hashes, return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, which, counts.astype(np.int64))
+    order = (key[0].as_py() >> 32) + 1
+    return pa.table({"n": pa.array(np.full(len(distinct), order, np.int32)), "hash": pa.array(distinct.view(np.int64)), "count": pa.array(total)})
+
+
+def count_table(docs: DataFrame, order: int = ORDER, block_chars: int = BLOCK_CHARS, part_chars: int = PART_CHARS) -> DataFrame:
+    """(n, hash, count): how often the corpus has each n-gram of 1 to ``order`` words, by
+    its 64-bit hash. Every n-gram is in it. Written as a table, it is a model that other
+    documents are scored against (``score_against``)."""
+    docs = docs.select("doc_id", "text")
+    dealt, bits = _dealt(docs, block_chars, part_chars)
+    return (dealt.groupBy("block").applyInArrow(_requests(order, bits), "block long, part long, hashes binary, counts binary")
+            .groupBy("part").applyInArrow(_table, "n int, hash long, count long"))
+
+
+def _lookup(key, asked, known):
+    """The table's counts of what each block asks for in one hash partition."""
+    hashes = known.column("hash").to_numpy().view(np.uint64) if known.num_rows else np.zeros(0, np.uint64)
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    counts = np.append(known.column("count").to_numpy()[order] if known.num_rows else np.zeros(0, np.int64), 0)
+    blobs = []
+    for blob in asked.column("hashes").to_pylist():
+        want = unpacked_sorted(blob)
+        at = np.searchsorted(hashes, want)
+        hit = np.append(hashes, np.uint64(0))[at] == want
+        blobs.append(packed(counts[np.where(hit & (at < len(hashes)), at, len(hashes))]))
+    n = asked.num_rows
+    return pa.table({"block": asked.column("block"), "part": pa.array([key[0].as_py()] * n, pa.int64()), "totals": pa.array(blobs, pa.binary())})
+
+
+def score_against(docs: DataFrame, counts: DataFrame, order: int = ORDER, backoff: float = BACKOFF, block_chars: int = BLOCK_CHARS,
+                  part_rows: int = 2_000_000) -> DataFrame:
+    """Scores of ``docs`` (columns of ``SCORES``) against a count table of any corpus
+    (``count_table``): the table is partitioned by hash and joined to the n-grams of
+    each block of documents. An n-gram the table lacks counts 0. The documents' own
+    counts are not taken out: they need not be in that corpus. N is the table's
+    number of words, 1 at least."""
+    docs = docs.select("doc_id", "text")
+    rows, n_all = counts.agg(F.count(F.lit(1)), F.sum(F.when(F.col("n") == 1, F.col("count")))).first()
+    dealt, _ = _dealt(docs, block_chars, PART_CHARS)
+    bits = (rows // part_rows).bit_length()
+    asked = dealt.groupBy("block").applyInArrow(_requests(order, bits), "block long, part long, hashes binary, counts binary")
+    slot = F.call_function("shiftrightunsigned", F.col("hash"), F.lit(64 - bits)) if bits else F.lit(0).cast("long")
+    known = counts.where(F.col("n") <= order).select(((F.col("n") - 1) * F.lit(1 << 32) + slot).alias("part"), "hash", "count")
+
+    def answer(key, asks, table):
+        return _lookup(key, asks, table) if asks.num_rows else pa.table({"block": pa.array([], pa.int64()), "part": pa.array([], pa.int64()), "totals": pa.array([], pa.binary())})
+
+    answers = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(answer, "block long, part long, totals binary")
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _score(order, backoff, False), SCORES.replace("micro_log10", "micro") + ", n_single long")
+    total = F.col("micro") - F.col("n_single") * F.rint(F.log10(F.lit(max(n_all or 0, 1))) * UNIT).cast("long")
+    return scored.select("doc_id", "n_words", total.alias("micro_log10"), "n_backed_off")
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
