@@ -6,8 +6,10 @@ and non-ASCII). A window is ``n`` consecutive words of an item; an item of
 fewer words, but not none, is one window. The windows form a hash set that
 is broadcast while the items are below ``BROADCAST_CHARS`` characters
 together (counted first); a scan tests every word window of every document
-against it and verifies each hit word by word. Beyond the bound the windows
-of documents and items meet in a shuffle join on the window's own words.
+against it and verifies each hit word by word. Beyond the bound a bit filter of the
+items' windows is broadcast instead (``FILTER_BITS``, whatever their number): a document's
+window travels only if its bit is set, and those that do meet the items' windows in a shuffle
+join on the window's own words.
 
 Defined results: a null or empty text has no words and is clean; items with
 null text or no words have no windows; a null item_id is named ``null``;
@@ -23,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_map, map_rows, text_batches
+from .common import Words, arrow_map, map_rows, text_batches, written
 
 WINDOW = 10
 BROADCAST_CHARS = 4_000_000
+FILTER_BITS = 27  # 16 MB: ten million windows leave nine in ten others out
 HITS = ("doc_id long, n_words long, n_hit long, n_items long, item_ids array<string>, "
         "spans array<struct<start:int,end:int>>, contaminated boolean")
 
@@ -126,29 +129,52 @@ def _broadcast(benchmark: DataFrame, n: int):
     return benchmark.sparkSession.sparkContext.broadcast(WindowSet(rows, n))
 
 
-def _joined(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
+def window_filter(items: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """Bits of the items' window hashes (column ``hash``), 2**bits of them. Gathered by words of
+    64 bits, so at most 2**(bits - 6) rows of two numbers reach the driver."""
+    place = F.call_function("shiftrightunsigned", F.col("hash"), F.lit(64 - bits))
+    words = (items.groupBy(F.call_function("shiftright", place, F.lit(6)).alias("word"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))).alias("set")).toArrow())
+    out = np.zeros(1 << max(bits - 6, 0), np.uint64)
+    out[words.column("word").to_numpy()] = words.column("set").to_numpy().view(np.uint64)
+    return out
+
+
+def may_occur(known: np.ndarray, hashes: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
+    place = hashes >> np.uint64(64 - bits)
+    return (known[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _joined(docs: DataFrame, benchmark: DataFrame, n: int, bits: int = FILTER_BITS) -> DataFrame:
     """The same for a benchmark beyond the bound: windows meet in a join."""
-    window = "item string, size int, words string"
+    window = "item string, size int, words string, hash long"
 
     def own(batch):
         w, ids = Words(batch.column("text").to_pylist()), batch.column("item").to_pylist()
-        out = {"item": [], "size": [], "words": []}
+        out = {"item": [], "size": [], "words": [], "hash": []}
+        by_size = {}
         for k, item in enumerate(ids):
             a, b = int(w.bounds[k]), int(w.bounds[k + 1])
             size = min(n, b - a)
+            if size and size not in by_size:
+                by_size[size] = dict(zip(*(x.tolist() for x in w.windows(size))))
             for i in range(a, b - size + 1) if size else ():
-                for c, v in zip(out, (item, size, w.joined(i, i + size).decode())):
+                h = by_size[size][i]
+                for c, v in zip(out, (item, size, w.joined(i, i + size).decode(), h - (1 << 64) if h >> 63 else h)):
                     out[c].append(v)
         return out
 
-    items = arrow_map(_item_rows(benchmark), own, window).distinct()
+    items = written(arrow_map(_item_rows(benchmark), own, window).distinct(), "windows")
     sizes = [r[0] for r in items.select("size").distinct().collect()]  # n values at most
+    known = docs.sparkSession.sparkContext.broadcast(window_filter(items, bits))
+    items = items.drop("hash")
 
     def windows(batch):
         w, keys = Words(batch.column("text").to_pylist()), batch.column("key").to_pylist()
         out = {"key": [], "at": [], "size": [], "words": []}
         for size in sizes:
-            at, _ = w.windows(size)
+            at, h = w.windows(size)
+            at = at[may_occur(known.value, h, bits)]
             k = np.searchsorted(w.bounds, at, side="right") - 1
             out["key"] += [keys[x] for x in k.tolist()]
             out["at"] += (at - w.bounds[k]).tolist()

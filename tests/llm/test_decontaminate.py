@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import numpy as np
+
 import hashlib
 import re
 
@@ -71,3 +73,26 @@ def test_empty_tables(spark, docs_of):
     assert rows(D.contract(docs_of([(1, "a b c")]), none)) == [(1, 3, 0, 0, hashlib.sha256(b"").hexdigest(), False)]
     assert D.contract(docs_of([(1, "a")]).limit(0), none).count() == 0
     assert D.decontaminate(docs_of([(1, "a")]).limit(0), none).count() == 0
+
+
+def test_window_filter(spark, docs_of):
+    hashes = np.random.default_rng(2).integers(0, 1 << 64, 500, dtype=np.uint64)
+    items = spark.createDataFrame([(int(x),) for x in hashes.view(np.int64)] * 2, "hash long").repartition(3)
+    for bits in (6, 10, 20):
+        known = D.window_filter(items, bits)
+        assert len(known) == 1 << (bits - 6) and D.may_occur(known, hashes, bits).all()
+        others = np.random.default_rng(3).integers(0, 1 << 64, 4000, dtype=np.uint64)
+        assert D.may_occur(known, others, bits).mean() <= min(1, 500 / 2**bits) * 1.5 + 1e-3
+    assert not D.may_occur(D.window_filter(items.limit(0), 10), hashes, 10).any()
+
+
+def test_only_possible_hits_travel(spark, docs_of, words):
+    """The join path with a filter of any width finds the same."""
+    items = spark.createDataFrame([(1, words(1, 30)), (2, "short item"), (3, None), (4, words(1, 30))], "item_id int, text string")
+    docs = docs_of([(i, words(i + 10, 60) + (" " + words(1, 30) if i % 3 == 0 else "") + (" short item" if i % 4 == 0 else "")) for i in range(24)] + [(90, None)])
+    want = sorted(map(str, D.find_hits(docs, items).collect()))
+    for bits in (6, 16, D.FILTER_BITS):
+        assert sorted(map(str, D._joined(docs.select("doc_id", "text"), items, D.WINDOW, bits).collect())) == want
+    for remove in ("documents", "spans"):
+        both = [sorted(map(str, D.decontaminate(docs, items, remove=remove, broadcast_chars=b).collect())) for b in (D.BROADCAST_CHARS, 0)]
+        assert both[0] == both[1]
