@@ -37,6 +37,56 @@ def test_recall_on_small_table(small):
     assert found(rows) == want
 
 
+def clustered(n, heads, dim=16, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((heads, dim)) * 20
+    return [(i, (centres[i % heads] + rng.standard_normal(dim)).astype(np.float32).tolist()) for i in range(n)]
+
+
+def test_cells_are_skipped_and_answers_stay(spark, docs_of):
+    rows = clustered(4000, 40)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    want = brute([(i, np.array(v, np.float32)) for i, v in rows])
+    # cut over a small sample, over all rows, and with a cell that holds several trees
+    for kw in (dict(shard_rows=100, sample=500), dict(shard_rows=100), dict(shard_rows=60, cells=20)):
+        got = found(N.nearest(df, df.where("vec_id % 100 = 0"), **kw))
+        hits = sum(len({i for i, _ in got[q]} & {i for i, _ in near}) for q, near in want.items())
+        assert hits >= 0.9 * 400 and set(got) == set(want)
+    assert found(N.nearest(df, df.where("vec_id % 100 = 0"), confidence=1 - 1e-12, shard_rows=100)) == want
+    # the cells that queries visit besides their own
+    candidates = N.valid(df)
+    space = N.cells_of(candidates, 100)
+    assert list(space) == [16] and space[16].count == 40
+    placed = N.in_cells(candidates, space)
+    trees = N.index(placed, 100).persist()
+    assert trees.count() >= 40 and placed.select("cell").distinct().count() == 40
+    asked = placed.where("vec_id % 100 = 0").selectExpr("*", "0D AS bound")
+    bounds = spark.createDataFrame([(q, near[-1][1]) for q, near in want.items()], "vec_id long, worst double")
+    visited = N.visits(asked, bounds, trees, space, N.stop_ratio()).count()
+    trees.unpersist()
+    assert visited < 0.5 * 40 * 39, visited  # all would be 40 queries in 39 other cells
+
+
+def test_cells_part_any_points():
+    rng = np.random.default_rng(1)
+    for points, most in ((rng.standard_normal((1000, 8)), 16), (np.repeat(rng.standard_normal((3, 8)), 300, axis=0), 8), (np.zeros((50, 8)), 4),
+                         (np.zeros((0, 8)), 3), (rng.integers(0, 2, (500, 8)).astype(float), 100)):
+        cells = N.Cells(points, most)
+        of = cells.of(points)
+        assert cells.count <= most and (not len(of) or 0 <= of.min() and of.max() < cells.count)
+        _, where = np.unique(points, axis=0, return_inverse=True)
+        assert all(len(set(of[where.ravel() == w].tolist())) == 1 for w in set(where.ravel().tolist()))
+    assert np.bincount(N.Cells(rng.standard_normal((4096, 8)), 32).of(rng.standard_normal((4096, 8))), minlength=32).min() > 50
+
+
+def test_copies_over_many_cells_and_infinite_distances(spark, docs_of):
+    rows = clustered(600, 6) + [(i, [1.0] * 16) for i in range(1000, 1700)] + [(5000, [1e200] + [0.0] * 15), (5001, [-1e200] + [0.0] * 15), (6000, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = found(N.nearest(df, df.where("vec_id % 100 = 0"), shard_rows=50, block=3))
+    assert got[1500] == [(i, 0.0) for i in range(1000, 1010)] and got[1000] == [(i, 0.0) for i in range(1001, 1011)]
+    assert 6000 not in got and len(got[5000]) == 10 and all(s == float("inf") for _, s in got[5000])
+
+
 def test_defined_cases(spark):
     nan, inf = float("nan"), float("inf")
     hot = [(i, [1.0, 2.0, 3.0]) for i in range(100, 160)]
