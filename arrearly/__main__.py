@@ -2,8 +2,10 @@
 
     python -m arrearly --tables <parquet root> --as-of 2024-12-26 --out <dir> [--csv] [--table name]
     python -m arrearly --fixtures /root/testdata/sf0.01 --out <dir>
+    python -m arrearly --tables <parquet root> --as-of 2024-11-30,2024-12-31 --out <dir>
 
-Writes the report as a dated snapshot (``<out>/snapshots/as_of=<date>``) and as
+With several run dates, their snapshots are written by one job that reads the inputs once; the
+other outputs are of the last date. Writes the report as a dated snapshot (``<out>/snapshots/as_of=<date>``) and as
 the file dataset ``<out>/Rawdata``, optionally a CSV export (``<out>/csv/<date>``) and a catalog table, and prints
 the column profile (one row per column; the only thing that reaches the
 driver).
@@ -17,6 +19,7 @@ import datetime as dt
 from arrearly.operators.profile import profile
 from arrearly.params import Params
 from arrearly.plans import fused, report
+from arrearly.plans.by_dates import report_by_dates
 from arrearly.session import build_session
 from arrearly.sources import sinks
 from arrearly.sources.tables import LoanTables
@@ -28,7 +31,7 @@ def main(argv=None, spark=None) -> None:
     src.add_argument("--tables", help="root folder with the five Parquet tables")
     src.add_argument("--fixtures", help="driver test-table folder to derive the tables from")
     ap.add_argument("--as-of", default=None,
-                    help="run date (YYYY-MM-DD); default: the current date (UTC)")
+                    help="run date (YYYY-MM-DD), or several with commas; default: the current date (UTC)")
     ap.add_argument("--out", required=True, help="output root")
     ap.add_argument("--csv", action="store_true", help="also export CSV")
     ap.add_argument("--table", default=None, help="also (re)create this catalog table")
@@ -37,11 +40,17 @@ def main(argv=None, spark=None) -> None:
     a = ap.parse_args(argv)
 
     spark = spark or build_session(a.master)
-    p = Params.of(a.as_of or dt.datetime.now(dt.timezone.utc).date())
+    dates = sorted({dt.date.fromisoformat(x) for x in a.as_of.split(",")}) if a.as_of else [dt.datetime.now(dt.timezone.utc).date()]
+    if len(dates) > 1 and a.stepwise:
+        ap.error("--stepwise takes one run date")
+    p = Params.of(dates[-1])
     t = LoanTables.from_parquet(spark, a.tables) if a.tables else LoanTables.from_fixtures(spark, a.fixtures)
-    df = (report.delinquency_report if a.stepwise else fused.delinquency_report_fused)(t, p)
     out = a.out.rstrip("/")
-    sinks.write_snapshot(df, f"{out}/snapshots", p)
+    if len(dates) > 1:
+        sinks.write_snapshots(report_by_dates(t, p, dates), f"{out}/snapshots", dates)
+    else:
+        df = (report.delinquency_report if a.stepwise else fused.delinquency_report_fused)(t, p)
+        sinks.write_snapshot(df, f"{out}/snapshots", p)
     written = sinks.read_snapshot(spark, f"{out}/snapshots", p).drop("as_of")
     sinks.write_raw_dataset(written, out)
     if a.csv:

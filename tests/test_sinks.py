@@ -95,6 +95,20 @@ def test_command_line_run(spark, sf0001, capsys):
     assert spark.read.parquet(f"{out}/Rawdata").count() == 2411
 
 
+def test_command_line_run_of_many_dates(spark, sf0001, capsys):
+    from arrearly.__main__ import main
+
+    out = scratch_path(spark, "t-cli-many")
+    main(["--fixtures", sf0001, "--as-of", "2024-02-10,2024-01-31", "--out", out], spark=spark)
+    assert "rows: 2411" in capsys.readouterr().out
+    for x in ("2024-01-31", "2024-02-10"):
+        p = Params.of(x)
+        want = fused.delinquency_report_fused(LoanTables.from_fixtures(spark, sf0001), p)
+        assert _same(sinks.read_snapshot(spark, f"{out}/snapshots", p).drop("as_of"), want)
+    with pytest.raises(SystemExit):
+        main(["--fixtures", sf0001, "--as-of", "2024-02-10,2024-01-31", "--out", out, "--stepwise"], spark=spark)
+
+
 def test_run_date_is_today_unless_given(spark, capsys):
     from arrearly.__main__ import main
 
