@@ -20,12 +20,15 @@ over two nodes (unlike documents that share passages), the signatures of all
 nodes of different groups are compared, in blocks and without a row per
 pair. So whatever shares a branch has been matched, however crowded it is.
 
-A group is verified whole, every pair of its nodes, on the
-sets rebuilt from the texts: a pair counts if |A and B| / |A or B| >=
-THRESHOLD. Groups of up to ``GROUP`` nodes are dealt over tasks in batches; larger ones in
-blocks, each pair of blocks a task of at most two blocks. Tasks give link
-counts and a spanning forest of links, never the pairs themselves. Verified
-links make the classes.
+A group is verified whole, every pair of its nodes that could be linked, on
+their sets: a pair counts if |A and B| / |A or B| >= THRESHOLD. The sets of grouped nodes are
+made of the texts once and written, sorted hashes; texts do not travel again. Groups
+of up to ``BLOCK_BYTES`` are dealt over tasks in batches of about ``TASK_BYTES``. A larger
+group is parted by set size into bands (``BAND`` apart, so that sets more than three
+bands apart cannot reach the threshold and never meet) and a band by hash into blocks of
+about ``BLOCK_BYTES``; each pair of blocks within reach is a task of at most two blocks, which
+it compares in tiles of ``TILE`` nodes. Tasks give link counts and a spanning forest of
+links, never the pairs themselves. Verified links make the classes.
 
 Result per document: class_id, the smallest doc_id of its class, and n_links,
 the number of other documents whose similarity to it is at least
@@ -56,7 +59,11 @@ FIRST_TREES = 4
 DEPTH = 6
 RECALL = 0.995
 SLACK = 0.16
-GROUP = 256
+BLOCK_BYTES = 8 << 20  # of a block's sets; a set larger than that is a block of its own
+NODE_BYTES = 1_024  # a node counts this besides its set, which bounds the nodes of a block
+TASK_BYTES = 16 << 20
+TILE = 512
+BAND = 0.9  # sizes of neighbouring bands
 BRANCH = 512
 TASK_NODES = 2_000
 SKETCH = "doc_id long, text_hash long, node long, signature binary"
@@ -297,43 +304,98 @@ def forest(linked: np.ndarray) -> np.ndarray:
 
 
 VERIFIED = "node long, links long, other long"
+SETS = "node long, n long, shingles binary"
 
 
-def verify(groups: DataFrame, docs: DataFrame, sketch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, links, other): for every node how many documents it is linked to in one
-    task, and a node it is connected to there. ``groups``: (node, label, copies)
-    of all nodes; those alone in their group are left out."""
-    sizes = groups.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 1")
-    groups = written(groups.select("node", "copies", "label").join(sizes, "label"), "members")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("nodes") / GROUP)).cast("int")
-    dealt = groups.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # One text per node; any one will do, as their sets are equal.
+def reach(threshold: float = THRESHOLD, band: float = BAND) -> int:
+    """How many bands apart two sets may be and still be linked: sizes of bands d
+    apart differ by a factor of band**(d - 1) at the most alike."""
+    return next(d for d in range(1, 1000) if band**d < threshold)
+
+
+def node_sets(groups: DataFrame, docs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(node, n, shingles): the set of each node of ``groups``, sorted hashes. Made of one of
+    its texts; any one will do, as their sets are equal."""
     chosen = (sketch.join(groups.select("node"), "node").groupBy("node").agg(F.min(F.struct("text_hash", "doc_id")).alias("d"))
               .select("node", F.col("d.text_hash").alias("chosen_hash"), F.col("d.doc_id").alias("chosen_doc")))
     same = (F.xxhash64("text") == F.col("chosen_hash")) & F.col("doc_id").eqNullSafe(F.col("chosen_doc"))
-    texts = docs.select("doc_id", "text").join(chosen, same).groupBy("node").agg(F.first("text").alias("text"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = dealt.join(texts, "node").withColumn("other", other)
-    lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    tasks = max(1, -(-groups.count() // TASK_NODES))
-    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("label"), F.lit(tasks))).otherwise(F.xxhash64("label", lo, hi))
-    rows = rows.select(task.alias("task"), "label", lo.alias("lo"), hi.alias("hi"), "block", "node", "copies", "text")
+    texts = docs.select("doc_id", "text").join(chosen, same).select("node", "text")
+
+    def run(batch):
+        sets = shingle_sets(batch.column("text").to_pylist())
+        return {"node": batch.column("node").to_pylist(), "n": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
+
+    return arrow_map(texts, run, SETS).groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+
+
+def compare_blocks(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float, tile: int = TILE):
+    """Link matrices of all tiles of two blocks (of one, if ``right`` is None), as
+    (from, to, matrix) in positions of the blocks."""
+    for i in range(0, len(left), tile):
+        if right is None:
+            yield i, i, compare(left[i: i + tile], None, threshold)
+        for j in range(0 if right is not None else i + tile, len(left if right is None else right), tile):
+            yield i, j, compare(left[i: i + tile], (left if right is None else right)[j: j + tile], threshold)
+
+
+def verify(groups: DataFrame, docs: DataFrame, sketch: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, links, other): for every node how many documents it is linked to in one
+    task, and nodes it is connected to there. ``groups``: (node, label, copies)
+    of all nodes; those alone in their group are left out."""
+    alone = groups.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    groups = written(groups.select("node", "copies", "label").join(alone, "label").drop("nodes"), "members")
+    sets = written(node_sets(groups, docs, sketch), "sets")
+    weight = F.col("n") * 8 + NODE_BYTES
+    sized = groups.join(sets.select("node", "n"), "node")
+    bytes_ = sized.groupBy("label").agg(F.sum(weight).alias("bytes"))
+    band = F.when(F.col("bytes") <= BLOCK_BYTES, F.lit(0)).otherwise(F.floor(F.log("n") / F.lit(float(-np.log(BAND))))).cast("int")
+    sized = written(sized.join(bytes_, "label").withColumn("band", band), "sized")
+    bands = sized.groupBy("label", "band").agg(F.greatest(F.lit(1), F.ceil(F.sum(weight) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    code = lambda band_, sub: band_.cast("long") * F.lit(1 << 32) + sub
+    own = code(F.col("band"), F.pmod(F.xxhash64("node"), F.col("blocks")))
+    apart = F.when(F.col("bytes") <= BLOCK_BYTES, F.lit(0)).otherwise(F.lit(reach(threshold)))
+    met = F.explode(F.sequence(F.col("band") - apart, F.col("band") + apart))
+    others = bands.select("label", F.col("band").alias("met"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("sub"))
+    dealt = (sized.join(bands, ["label", "band"]).select("label", "node", "copies", "bytes", own.alias("own"), met.alias("met"))
+             .join(others, ["label", "met"]).withColumn("other", code(F.col("met"), F.col("sub"))))
+    lo, hi = F.least("own", "other"), F.greatest("own", "other")
+    small = sized.where(F.col("bytes") <= BLOCK_BYTES).agg(F.sum(weight)).first()[0] or 0
+    tasks = max(1, -(-small // TASK_BYTES))
+    task = F.when(F.col("bytes") <= BLOCK_BYTES, F.pmod(F.xxhash64("label"), F.lit(tasks))).otherwise(F.xxhash64("label", lo, hi))
+    rows = dealt.select(task.alias("task"), "label", lo.alias("lo"), hi.alias("hi"), "own", "node", "copies").join(sets.select("node", "shingles"), "node")
 
     def run(pdf):
         out = []
         for (_, lo_, hi_), g in pdf.groupby(["label", "lo", "hi"], sort=False):
-            g = g.sort_values(["block", "node"])
+            g = g.sort_values(["own", "node"])
             node, copies = g["node"].to_numpy(np.int64), g["copies"].to_numpy(np.int64)
-            sets = shingle_sets(g["text"].tolist())
-            if lo_ == hi_:
-                linked = compare(sets, None, threshold)
-            else:
-                m = int((g["block"] == lo_).sum())
-                linked = np.zeros((len(g), len(g)), bool)
-                if 0 < m < len(g):
-                    linked[:m, m:] = compare(sets[:m], sets[m:], threshold)
-                    linked |= linked.T
-            out.append(pd.DataFrame({"node": node, "links": linked @ copies, "other": node[forest(linked)]}))
+            own_sets = [np.frombuffer(b, np.uint64) for b in g["shingles"]]
+            m = len(g) if lo_ == hi_ else int((g["own"] == lo_).sum())
+            if m == len(g) and lo_ != hi_ or not m:
+                continue  # one of the two blocks has no node
+            links = np.zeros(len(g), np.int64)
+            joins = [np.stack([node, node], axis=1)]
+            for i, j, linked in compare_blocks(own_sets[:m], None if lo_ == hi_ else own_sets[m:], threshold):
+                if not linked.any():
+                    continue
+                one = lo_ == hi_ and i == j
+                a = np.arange(i, i + linked.shape[0])
+                b = a if one else np.arange(j, j + linked.shape[1]) + (0 if lo_ == hi_ else m)
+                links[a] += linked @ copies[b]
+                at = a
+                if not one:
+                    links[b] += linked.T @ copies[a]
+                    at, size = np.concatenate((a, b)), len(a)
+                    square = np.zeros((len(at), len(at)), bool)
+                    square[:size, size:] = linked
+                    square[size:, :size] = linked.T
+                    linked = square
+                to = node[at[forest(linked)]]
+                joins.append(np.stack([node[at], to], axis=1)[to != node[at]])
+            edges = np.unique(np.concatenate(joins), axis=0)
+            total = dict(zip(node.tolist(), links.tolist()))
+            itself = edges[:, 0] == edges[:, 1]
+            out.append(pd.DataFrame({"node": edges[:, 0], "links": np.where(itself, [total[x] for x in edges[:, 0].tolist()], 0), "other": edges[:, 1]}))
         return pd.concat(out) if out else pd.DataFrame({"node": [], "links": [], "other": []})
 
     return rows.groupBy("task").applyInPandas(run, VERIFIED)

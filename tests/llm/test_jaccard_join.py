@@ -85,6 +85,42 @@ def test_large_group_of_near_copies(docs_of, words):
     assert rows(J.contract(docs_of(texts))) == brute(texts)
 
 
+@pytest.mark.parametrize("size", [5_000])
+def test_large_group_in_blocks_and_bands(docs_of, words, monkeypatch, size):
+    """A group that falls into many blocks: copies of one page, cut shorter and shorter, so
+    that neighbours are linked over many size bands, and edited ones."""
+    monkeypatch.setattr(J, "BLOCK_BYTES", size)
+    base = words(3, 400)
+    texts = [(i, " ".join(base.split()[: 400 - i])) for i in range(0, 280, 2)]
+    texts += [(1000 + i, edited(base, (7 * i) % 160, (31 * i + 5) % 160)) for i in range(60)] + [(5000, base), (5001, base)]
+    assert rows(J.contract(docs_of(texts))) == brute(texts)
+
+
+def test_tiles_of_blocks_are_all_pairs():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(23)]
+    whole = J.compare(sets, None, 0.4)
+    for tile in (1, 4, 23, 50):
+        got = np.zeros_like(whole)
+        for i, j, m in J.compare_blocks(sets, None, 0.4, tile):
+            got[i: i + m.shape[0], j: j + m.shape[1]] |= m
+            got[j: j + m.shape[1], i: i + m.shape[0]] |= m.T
+        assert (got == whole).all()
+        got = np.zeros((9, 14), bool)
+        for i, j, m in J.compare_blocks(sets[:9], sets[9:], 0.4, tile):
+            got[i: i + m.shape[0], j: j + m.shape[1]] |= m
+        assert (got == whole[:9, 9:]).all()
+
+
+def test_bands_that_never_meet_cannot_be_linked():
+    far = J.reach()
+    assert far == 3
+    for n in range(1, 3000):
+        least = int(np.ceil(0.8 * n))  # the smallest set that a set of n can be linked to
+        bands = [int(np.floor(np.log(x) / -np.log(J.BAND))) for x in (least, n)]
+        assert bands[1] - bands[0] <= far
+
+
 def test_crowded_branches_of_unlike_documents(docs_of):
     """Pages put together from the same passages (similarity about 0.45), with a
     pair of 0.8 here and there: a pair's branches hold many others too."""
