@@ -28,8 +28,11 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from arrearly.operators import segments as SG  # noqa: E402
+from arrearly.operators import stated  # noqa: E402
 from arrearly.params import FIXTURE_AS_OF, Params  # noqa: E402
 from arrearly.plans import fused, report  # noqa: E402
+from arrearly.plans.by_dates import report_by_dates  # noqa: E402
+from arrearly.plans.registry import RUN_DATES  # noqa: E402
 from arrearly.session import build_session  # noqa: E402
 from arrearly.sources.tables import LoanTables  # noqa: E402
 
@@ -40,6 +43,8 @@ QUERIES = {
     "segments_stepwise": lambda t, d, p: (SG.segment_a(t, p).select("loanAccountNumber")
                                           .unionByName(SG.segment_b(t, p).select("loanAccountNumber"))
                                           .unionByName(SG.segment_c(t, p))),
+    "report_by_six_dates": lambda t, d, p: report_by_dates(t, p, RUN_DATES),
+    "stated_segments": lambda t, d, p: stated.segment_labels(t, p),
     "report_fused_from_driver_tables": lambda t, d, p: fused.delinquency_report_fused(d, p),
 }
 
@@ -109,6 +114,7 @@ def main() -> None:
     plans = {
         "report_fused": _plan_shape(spark, lambda: fused.delinquency_report_fused(t, p)),
         "report_stepwise": _plan_shape(spark, lambda: report.delinquency_report(t, p)),
+        "report_by_six_dates": _plan_shape(spark, lambda: report_by_dates(t, p, RUN_DATES)),
     }
     spark.stop()
 
