@@ -125,10 +125,14 @@ def segment_c(t: LoanTables, p: Params) -> DataFrame:
     return not_in(lm, paid, keys_not_null=True, left_not_null=True)
 
 
-def segment_labels(t: LoanTables, p: Params) -> DataFrame:
-    """(account, Segment) of the report population by the stated rules."""
+def label_segment(base: DataFrame, t: LoanTables, p: Params) -> DataFrame:
+    """``base`` (rows kept) with the stated rules' ``Segment``; a loan without an account is in none."""
     la, lb, lc = P.SEGMENT_LABELS
-    base = LN.loans_base(t.loan_master).select(KEY)
     known = mark(base.where(F.col(KEY).isNotNull()), [(segment_a(t, p), la), (segment_b(t, p), lb), (segment_c(t, p), lc)],
                  "Segment", P.NO_SEGMENT_LABEL)
     return known.unionByName(base.where(F.col(KEY).isNull()).withColumn("Segment", F.lit(P.NO_SEGMENT_LABEL)))
+
+
+def segment_labels(t: LoanTables, p: Params) -> DataFrame:
+    """(account, Segment) of the report population by the stated rules."""
+    return label_segment(LN.loans_base(t.loan_master).select(KEY), t, p)

@@ -219,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "stated_no_contact": _q(lambda t, p: ST.no_contact_since_disbursement(t.loan_master, t.calls, p)),
     "stated_contacts": _q(_stated_contacts),
     "stated_segments": _q(ST.segment_labels),
+    "stated_report": _q(report.delinquency_report_stated),
     # campaign groups as data, inputs by day
     "campaign_group_calls": _campaign_groups,
     "src_calls_by_day": _calls_by_day,
@@ -357,6 +358,17 @@ _SELECTS: dict[str, str] = {
     "stated_segments": """SELECT loanAccountNumber, CASE WHEN loanAccountNumber IN (SELECT loanAccountNumber FROM stated_a) THEN 'Segment A'
           WHEN loanAccountNumber IN (SELECT loanAccountNumber FROM stated_b) THEN 'Segment B'
           WHEN loanAccountNumber IN (SELECT loanAccountNumber FROM stated_c) THEN 'Segment C' ELSE 'NA' END AS Segment FROM base""",
+    "stated_report": f"""SELECT {_REPORT_COLS} FROM (
+          SELECT b.customerId, CAST(b.loanAccountNumber AS VARCHAR) AS loanAccountNumber, b.disbursementDateTime, b.clientName, b.province, b.dpd,
+                 b.Overdue_Principal, b.Overdue_Interest, b.Overdue_Penalty, b.total_overdue_amount, b.outstandingBalance, b.total_outstanding_amount,
+                 b.loanPaidStatus, CAST(coalesce(b.mobileNo, cd.new_mobile_number) AS VARCHAR) AS primary_number,
+                 CASE WHEN b.loanAccountNumber IN (SELECT loanAccountNumber FROM stated_a) THEN 'Segment A'
+                      WHEN b.loanAccountNumber IN (SELECT loanAccountNumber FROM stated_b) THEN 'Segment B'
+                      WHEN b.loanAccountNumber IN (SELECT loanAccountNumber FROM stated_c) THEN 'Segment C' ELSE 'NA' END AS Segment,
+                 b.ltype AS Product, b.lastPaidDT, rpc.lastrpcdate, ptp.lastptpdate, unpaid.minunpaidinstallmentnumber
+          FROM base b LEFT JOIN cd ON b.customerId = cd.customer_id AND cd.rnk = 1
+          LEFT JOIN rpc ON rpc.loanAccountNumber = b.loanAccountNumber LEFT JOIN ptp ON ptp.loanAccountNumber = b.loanAccountNumber
+          LEFT JOIN unpaid ON unpaid.loanAccountNumber = b.loanAccountNumber)""",
     "campaign_group_calls": f"""SELECT loanAccountNumber, count(*) FILTER (WHERE campaignName IN ({_in(P0.queue_campaigns)})) AS queue_calls,
           count(*) FILTER (WHERE campaignName IN ({_in(P0.contact_campaigns)})) AS contact_calls,
           count(*) FILTER (WHERE campaignName IN ({_in(P0.contact_campaigns)}) AND coalesce(connected, 0) = 0) AS unconnected_contact_calls

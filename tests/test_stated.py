@@ -112,6 +112,19 @@ def test_hot_customer_collapses_before_the_shuffle(spark):
     assert sum(x.startswith(("HashAggregate", "SortAggregate", "ObjectHashAggregate")) for x in _nodes(df)) >= 2 and _count(df, "Window") == 0
 
 
+def test_stated_report_has_one_row_per_loan(spark):
+    from arrearly.plans.report import delinquency_report_stated
+
+    lm = [loan(1, 95, cust=1, mobileNo=None), loan(1, 30, cust=1), loan(2, 75, cust=2), loan(None, 95, cust=None), loan(3, 0, cust=1), loan(4, 95, cust=1, flagDisbursement=0)]
+    contacts = [dict(customer_id=c, new_mobile_number=n, change_date=ts("2024-01-01 00:00:00"), ACTIVE="Y") for c in (1, 2, None) for n in (7, 8, 9)]
+    t = tables(spark, loan_master=lm, contacts=contacts, installments=[dict(loanAccountNumber=None, lastPaymentDate=d("2024-02-01"))],
+               calls=[call(2, "2024-02-01 10:00:00")])
+    got = sorted(((r.loanAccountNumber, r.dpd, r.Segment, r.primary_number) for r in delinquency_report_stated(t, P).collect()), key=str)
+    # a payment of an unknown account does not empty Segment C here
+    # (a label is the account's, as in the implemented report)
+    assert got == [("1", 30, "Segment C", "601"), ("1", 95, "Segment C", "7"), ("2", 75, "NA", "602"), (None, 95, "NA", "600")]
+
+
 def test_stated_labels_against_loops(spark):
     """Few values, so that every rule fires; the plain form is the SQL of the registry, run here on the same rows."""
     import duckdb
