@@ -58,6 +58,12 @@ def test_edges_against_brute_force(docs_of, words, order, leave_out):
     assert got == brute(texts, order, leave_out=leave_out)
 
 
+def test_very_long_text(docs_of, words):
+    texts = [(1, words(1, 60_000)), (2, words(1, 30)), (3, "word " * 40_000), (3, words(2, 20))]
+    for sizes in ({}, {"block_chars": 50_000, "part_chars": 20_000}):
+        assert rows(L.score(docs_of(texts), **sizes)) == brute(texts)
+
+
 def test_one_document_and_none(docs_of):
     assert rows(L.score(docs_of([(1, "a b a")]))) == brute([(1, "a b a")])
     assert L.score(docs_of([(1, "a")]).limit(0)).count() == 0

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import zlib
 
 import numpy as np
@@ -63,6 +64,64 @@ def test_section_edges(spark, docs_of):
     assert [sum(r.n_tokens for r in got if r.doc_id == i) for i in (1, 2)] == [len(tokens.encode("one two\n\n")), len(tokens.encode("\nthree\n"))]
 
 
+def plain_sections(text, starts, rule, reference):
+    """Tokens per section, character by character."""
+    enc = reference(text)
+    char_of, out, at = [], [0.0] * len(starts), 0
+    for i, c in enumerate(text):
+        char_of += [i] * len(c.encode())
+    for token in enc.tokens:  # one character of it is one byte of the text
+        chars = sorted(set(char_of[at: at + len(token)]))
+        at += len(token)
+        own = [bisect.bisect_right(starts, c) - 1 for c in chars]
+        if rule == "start":
+            out[own[0]] += 1
+        elif rule == "majority":
+            out[max(sorted(set(own)), key=own.count)] += 1
+        else:
+            for k in own:
+                out[k] += 1 / len(own)
+    assert at == len(char_of)
+    return out
+
+
+def test_section_counts_against_a_plain_count(docs_of, small, reference):
+    texts = [r.text for r in small("documents").limit(25).collect()] + [h for h in HARD if h] + ["a\n\n\nb\n", "é\nñ\n文\n\n𝄞", "x <|endo\nftext|> y\n<|endoftext|>\n"]
+    docs = docs_of(list(enumerate(texts)))
+    for rule in T.RULES:
+        got = {}
+        for r in T.section_counts(docs, rule=rule).collect():
+            got.setdefault(r.doc_id, {})[r.section] = r.n_tokens
+        for i, text in enumerate(texts):
+            starts = [0, *[k + 1 for k, c in enumerate(text) if c == "\n" and k + 1 < len(text)]]
+            want = plain_sections(text, starts, rule, reference)
+            assert np.allclose([got[i][k] for k in range(len(starts))], want), (rule, text[:40])
+
+
+def test_sections_of_a_very_long_text(docs_of, reference):
+    text = "".join(f"line {i} été <|endoftext|>\n" if i % 1000 == 0 else f"row {i} of many words\n" for i in range(40_000))
+    got = T.section_counts(docs_of([(1, text), (2, "x" * 400_000)]), rule="majority").collect()
+    lines = {r.section: r for r in got if r.doc_id == 1}
+    assert len(lines) == 40_000 and round(sum(r.n_tokens for r in lines.values())) == len(reference(text).ids)
+    assert all(text[r.start: r.end].endswith("\n") for r in lines.values())
+    assert [r.n_tokens for r in got if r.doc_id == 2] == [len(reference("x" * 400_000).ids)]
+
+
+def test_field_counts_repeated_tied_and_empty(spark, docs_of, reference):
+    rows = [(1, "same", "same"), (1, "same", "same"), (2, None, None), (None, "", "x\ny"), (3, "é" * 3000, "<|endoftext|>")]
+    df = spark.createDataFrame(rows, "doc_id long, title string, body string").selectExpr("*", "'t' AS text", "1 AS section", "2 AS sizes")
+    for rule in T.RULES:
+        got = sorted(((r.doc_id, r.section, r.start, r.end, round(r.n_tokens, 6)) for r in T.field_counts(df, ["title", "body"], rule=rule).collect()), key=repr)
+        want = []
+        for doc, *fields in rows:
+            parts = [(f or "") + "\n" for f in fields]
+            starts = [0, len(parts[0])]
+            found = plain_sections("".join(parts), starts, rule, reference)
+            want += [(doc, i, starts[i], starts[i] + len(parts[i]), round(found[i], 6)) for i in (0, 1)]
+        assert got == sorted(want, key=repr), rule
+    assert T.field_counts(df.limit(0), ["title", "body"]).count() == 0
+
+
 def check_packing(got, texts, reference):
     """Every piece right, every sequence gapless; returns the sequences' number."""
     ids = {d: np.array(reference(t).ids + [2], "<u4") for d, t in texts}
