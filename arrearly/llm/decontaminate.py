@@ -14,7 +14,8 @@ join on the window's own words.
 Defined results: a null or empty text has no words and is clean; items with
 null text or no words have no windows; a null item_id is named ``null``;
 repeated items are named once; repeated documents give repeated rows; an
-empty benchmark leaves every document clean. Only the columns ``doc_id`` and
+empty benchmark leaves every document clean; a document whose every word is cut out as a
+span stays, with what is left of its text. Only the columns ``doc_id`` and
 ``text`` are read, so extra columns cannot clash.
 """
 
