@@ -26,6 +26,7 @@ from arrearly import params as P
 from arrearly import schemas
 from arrearly.functions import columns as C
 from arrearly.operators import calls as CL
+from arrearly.operators import daybits as DB
 from arrearly.operators import installments as IN
 from arrearly.operators import loans as LN
 from arrearly.operators.nullsafe import KEY, left_join_known
@@ -87,25 +88,27 @@ def activity_features(calls: DataFrame, bucket: DataFrame, p: Params, dates: lis
     slot = [f"_ptp{i}" for i in range(len(dates))]
     kept = _mask(lambda d: C.trailing_window("Payment_Receiving_Date", d, p.kept_promise_days), dates, queue & (F.col("PTP_Kept") == 1))
     recent = _mask(lambda d: C.trailing_window("callDatetime", d, p.unconnected_days), dates, unconnected & mobile)
-    days = (
+    number = DB.day_number(C.day("callDatetime"))
+    spans = (
         calls.where(F.col(KEY).isNotNull() & of_use)
-        .groupBy(KEY, C.day("callDatetime").alias("day"))
+        .withColumns({"span": DB.span_of(number), "_slot": F.when(queue, DB.slot_of(number))})
+        .groupBy(KEY, "span")
         .agg(
             _gather(kept).alias("kept_promise"), _gather(recent).alias("unconnected_recent"),
             _any(unconnected & mobile & C.is_refusal()).alias("refusal"),
             _any(F.col("campaignName").isin(list(p.contact_campaigns)) & CL.not_connected()).alias("no_contact"),
             F.max(F.when(queue & (C.rpc() == 1), C.day("callDatetime"))).alias("lastrpcdate"),
             F.max(F.when(promise, F.col("PTP_Date"))).alias("lastptpdate"),
-            F.count(F.when(queue, F.lit(1))).alias("queue_calls"),
+            *DB.slot_counts(F.col("_slot"), "queue_calls"),
             *[F.max(F.when(promise & cond, C.day("PTP_Date"))).alias(name) for name, cond in zip(slot, _slots("PTP_Date", dates))],
         )
-        .join(fused.bucket_days(bucket, p), [KEY, "day"], "full")
+        .join(fused.bucket_spans(bucket, p), [KEY, "span"], "full")
     )
-    facts = days.groupBy(KEY).agg(
+    facts = spans.groupBy(KEY).agg(
         _gather(F.col("kept_promise")).alias("kept_promise"), _gather(F.col("unconnected_recent")).alias("unconnected_recent"),
         _any(F.col("refusal")).alias("refusal"), _any(F.col("no_contact")).alias("no_contact"),
         F.max("lastrpcdate").alias("lastrpcdate"), F.max("lastptpdate").alias("lastptpdate"), F.min("entry_date").alias("bucket_entry"),
-        F.coalesce(F.sum(F.col("queue_calls") * F.col("early_rows")), F.lit(0)).alias("attempts"),
+        F.coalesce(F.sum(DB.slot_products("queue_calls", "early_rows")), F.lit(0)).alias("attempts"),
         *[F.max(s).alias(s) for s in slot],
     )
     return facts.select("*", *[c.alias(f"last_promise_{i}") for i, c in enumerate(_upto(slot))]).drop(*slot)
