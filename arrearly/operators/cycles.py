@@ -31,34 +31,40 @@ def cycle_runs(bucket: DataFrame, p: Params) -> DataFrame:
     last, highest_dpd, early_last), days as numbers; early_last is the last day with a
     DPD of the early range.
 
-    The distinct (day, DPD) pairs of an account and chunk are collected with
-    map-side combine: at most 64 days, whatever the number of rows, and an account
-    with a long history is spread over its chunks. Run borders come from
-    array functions on the sorted days, so no window passes over an account's rows.
+    An account's days are bit masks per chunk, as are the days with a DPD in the early
+    range and above it, so any number of rows is one fixed row per map task and a
+    long history is spread over its chunks. Run borders are the bits without a neighbour; no
+    window passes over an account's rows. Only ``highest_dpd`` needs the DPD of
+    each day: the distinct (day, DPD) pairs, collected with map-side combine. Who does
+    not select it does not collect them (the column is pruned).
     """
     number = DB.day_number(C.day("bucketDate"))
     lo, hi = p.early_dpd
+    none = F.lit(0).cast("bigint")
+    day, dpd = F.col("day"), F.col("dpd")
     held = (
         bucket.where(F.col(KEY).isNotNull() & (F.col("Max_current_DPD") > 0) & _upto("bucketDate", p))
         .select(KEY, number.alias("day"), F.col("Max_current_DPD").alias("dpd"))
-        .groupBy(KEY, DB.chunk_of(F.col("day")).alias("chunk"))
-        .agg(F.collect_set(F.struct("day", "dpd")).alias("pairs"))
+        .groupBy(KEY, DB.chunk_of(day).alias("chunk"))
+        .agg(
+            F.bit_or(DB.bit_of(day)).alias("days"),
+            # A day's DPD is the highest of its rows: the early rule asks for days whose highest is early.
+            F.coalesce(F.bit_or(F.when(dpd.between(lo, hi), DB.bit_of(day))), none).alias("early"),
+            F.coalesce(F.bit_or(F.when(dpd > hi, DB.bit_of(day))), none).alias("over"),
+            F.collect_set(dpd.cast("bigint") * DB.DAYS + F.pmod(day, F.lit(DB.DAYS))).alias("pairs"),
+        )
     )
     days = F.col("days")
-    first = F.filter(days, lambda x, i: (i == 0) | (F.get(days, i - 1) < x - 1))
-    last = F.filter(days, lambda x, i: (i == F.size(days) - 1) | (F.get(days, i + 1) > x + 1))
-    runs = (
-        held.withColumn("days", F.array_sort(F.array_distinct(F.transform("pairs", lambda x: x["day"]))))
-        .select(KEY, "pairs", F.explode(F.arrays_zip(first.alias("first"), last.alias("last"))).alias("run"))
-        .select(KEY, "run.first", "run.last",
-                F.filter("pairs", lambda x: x["day"].between(F.col("run.first"), F.col("run.last"))).alias("own"))
-    )
-    top = F.array_max(F.transform("own", lambda x: x["dpd"]))
-    # A day's DPD is the highest of its rows: the early rule asks for days whose highest is early.
-    early = F.array_max(F.transform(
-        F.filter("own", lambda x: x["dpd"].between(lo, hi) & ~F.exists("own", lambda y: (y["day"] == x["day"]) & (y["dpd"] > hi))),
-        lambda x: x["day"]))
-    return runs.select(KEY, "first", "last", top.alias("highest_dpd"), early.alias("early_last"))
+    from_, to = F.col("run.from"), F.col("run.to")
+    begins = DB.places(days.bitwiseAND(F.bitwise_not(F.shiftleft(days, 1)))).alias("from")
+    ends = DB.places(days.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(days, 1)))).alias("to")
+    runs = held.select(KEY, "chunk", "early", "over", "pairs", F.explode(F.arrays_zip(begins, ends)).alias("run"))
+    early = F.col("early").bitwiseAND(F.bitwise_not("over")).bitwiseAND(DB.places_between(from_, to))
+    own = F.filter("pairs", lambda x: F.pmod(x, F.lit(DB.DAYS)).between(from_, to))
+    start = F.col("chunk") * DB.DAYS
+    return runs.select(
+        KEY, (start + from_).alias("first"), (start + to).alias("last"),
+        F.floor(F.array_max(own) / DB.DAYS).cast("int").alias("highest_dpd"), (start + DB.highest(early)).alias("early_last"))
 
 
 def cycles(bucket: DataFrame, p: Params) -> DataFrame:
@@ -66,7 +72,7 @@ def cycles(bucket: DataFrame, p: Params) -> DataFrame:
     cycle. early_end is the cycle's last day with an early DPD (NULL if it has none);
     a cycle is open if it holds the run date.
 
-    Bucket rows are shuffled once, aggregated; what is stitched per account
+    Bucket rows are shuffled once, aggregated to masks (and pairs, for ``highest_dpd``); what is stitched per account
     afterwards are runs, at most a few per chunk of 64 days."""
     runs = cycle_runs(bucket, p)
     by_day = Window.partitionBy(KEY).orderBy("first")
@@ -85,9 +91,9 @@ def cycles(bucket: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def current_cycles(bucket: DataFrame, p: Params) -> DataFrame:
-    """The last cycle of each account."""
-    last = F.max(F.struct("cycle_start", "cycle_end", "highest_dpd", "early_end", "is_open")).alias("c")
+def current_cycles(bucket: DataFrame, p: Params, columns: tuple[str, ...] = ("cycle_end", "highest_dpd", "early_end", "is_open")) -> DataFrame:
+    """The last cycle of each account: its start and the ``columns`` asked for."""
+    last = F.max(F.struct("cycle_start", *columns)).alias("c")
     return cycles(bucket, p).groupBy(KEY).agg(last).select(KEY, "c.*")
 
 
@@ -102,7 +108,7 @@ def cycle_attempts(calls: DataFrame, bucket: DataFrame, p: Params) -> DataFrame:
     called = DB.day_sets(CL.queue_calls(calls, p).where(_upto("callDatetime", p)), KEY, C.day("callDatetime"))
     inside = DB.days_between(F.col("days"), F.col("chunk"), F.col("cycle_start"), F.col("early_end"))
     return (
-        called.join(current_cycles(bucket, p).where(F.col("early_end").isNotNull()), KEY, "inner")
+        called.join(current_cycles(bucket, p, ("early_end",)).where(F.col("early_end").isNotNull()), KEY, "inner")
         .groupBy(KEY, "cycle_start", "early_end").agg(F.sum(inside).alias("attempt_days"))
         .where(F.col("attempt_days") > 0)
     )
