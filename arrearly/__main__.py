@@ -47,7 +47,7 @@ def main(argv=None, spark=None) -> None:
     t = LoanTables.from_parquet(spark, a.tables) if a.tables else LoanTables.from_fixtures(spark, a.fixtures)
     out = a.out.rstrip("/")
     if len(dates) > 1:
-        sinks.write_snapshots(report_by_dates(t, p, dates), f"{out}/snapshots", dates)
+        sinks.write_snapshots(report_by_dates(t, p, dates), f"{out}/snapshots", dates, spread=True)
     else:
         df = (report.delinquency_report if a.stepwise else fused.delinquency_report_fused)(t, p)
         sinks.write_snapshot(df, f"{out}/snapshots", p)
