@@ -4,8 +4,8 @@
     python -m arrearly --fixtures /root/testdata/sf0.01 --out <dir>
     python -m arrearly --tables <parquet root> --as-of 2024-11-30,2024-12-31 --out <dir>
 
-With several run dates, their snapshots are written by one job that reads the inputs once; the
-other outputs are of the last date. Writes the report as a dated snapshot (``<out>/snapshots/as_of=<date>``) and as
+With several run dates, their snapshots are written together from one pass over the inputs, by way of
+rows kept in a folder of the run under ``<out>``; the other outputs are of the last date. Writes the report as a dated snapshot (``<out>/snapshots/as_of=<date>``) and as
 the file dataset ``<out>/Rawdata``, optionally a CSV export (``<out>/csv/<date>``) and a catalog table, and prints
 the column profile (one row per column; the only thing that reaches the
 driver).
@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 
 from arrearly.operators.profile import profile
 from arrearly.params import Params
 from arrearly.plans import fused, report
-from arrearly.plans.by_dates import report_by_dates
+from arrearly.plans.by_dates import staged_report
 from arrearly.session import build_session
 from arrearly.sources import sinks
 from arrearly.sources.tables import LoanTables
@@ -47,7 +48,8 @@ def main(argv=None, spark=None) -> None:
     t = LoanTables.from_parquet(spark, a.tables) if a.tables else LoanTables.from_fixtures(spark, a.fixtures)
     out = a.out.rstrip("/")
     if len(dates) > 1:
-        sinks.write_snapshots(report_by_dates(t, p, dates), f"{out}/snapshots", dates, spread=True)
+        with staged_report(t, p, dates, f"{out}/_rows-{uuid.uuid4().hex}") as rows:
+            sinks.write_snapshots(rows, f"{out}/snapshots", dates, spread=True)
     else:
         df = (report.delinquency_report if a.stepwise else fused.delinquency_report_fused)(t, p)
         sinks.write_snapshot(df, f"{out}/snapshots", p)

@@ -11,13 +11,19 @@ are those of one run; the expansion to dates is the last step.
 
 A pass takes at most ``MOST`` dates, so that its aggregates stay within generated code;
 more dates are as many passes.
+
+``report_by_dates`` is lazy: a write of it holds the shuffle files of all its steps until its last
+row is written. ``staged_report`` is for such writes: labels, then report rows not yet copied per date, are
+kept as files, so that each step's shuffle files go before the next, and the write of the dates, by far the most rows,
+shuffles and sorts nothing.
 """
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +39,7 @@ from arrearly.operators.nullsafe import KEY, left_join_known
 from arrearly.params import Params
 from arrearly.plans import fused
 from arrearly.plans.report import attach_contacts, report_columns
+from arrearly.session import SHUFFLE_CLEANUP, drop_path, session_conf
 from arrearly.sources.tables import LoanTables
 
 MOST = 24
@@ -170,23 +177,61 @@ def account_labels(t: LoanTables, p: Params, dates: list[dt.date]) -> DataFrame:
     return f.select(KEY, F.array(*labels).alias("labels"), "lastrpcdate", "lastptpdate", "minunpaidinstallmentnumber")
 
 
+def _rows(t: LoanTables, labels: DataFrame) -> DataFrame:
+    """The report rows, once; ``Segment`` holds the labels of all dates."""
+    df = left_join_known(LN.loans_base(t.loan_master), labels, KEY)
+    return report_columns(attach_contacts(df.withColumnRenamed("labels", "Segment"), t.contacts))
+
+
+def _label(i: int | Column) -> Column:
+    return F.coalesce(F.get("Segment", F.lit(i) if isinstance(i, int) else i), F.lit(P.NO_SEGMENT_LABEL))
+
+
 def _pass(t: LoanTables, p: Params, dates: list[dt.date]) -> DataFrame:
-    df = left_join_known(LN.loans_base(t.loan_master), account_labels(t, p, dates), KEY)
-    # ``Segment`` holds the labels of all dates until the rows are complete.
-    rows = report_columns(attach_contacts(df.withColumnRenamed("labels", "Segment"), t.contacts))
+    rows = _rows(t, account_labels(t, p, dates))
     out = rows.select("*", F.posexplode(F.array(*[F.lit(d) for d in dates])).alias("_i", "as_of"))
-    label = F.coalesce(F.get("Segment", F.col("_i")), F.lit(P.NO_SEGMENT_LABEL))
-    return out.withColumn("Segment", label).select(*schemas.REPORT_COLUMNS, "as_of")
+    return out.withColumn("Segment", _label(F.col("_i"))).select(*schemas.REPORT_COLUMNS, "as_of")
 
 
-def report_by_dates(t: LoanTables, p: Params, dates: Iterable[str | dt.date]) -> DataFrame:
-    """The report of every run date (``p.as_of`` is not used), with a column
-    ``as_of``. The same rows as one run per date; a date named twice is one."""
+def _passes(p: Params, dates: Iterable[str | dt.date]) -> list[tuple[Params, list[dt.date]]]:
     days = sorted({dt.date.fromisoformat(d) if isinstance(d, str) else d for d in dates})
     if not days:
         raise ValueError("no run dates")
+    parts = [days[lo: lo + MOST] for lo in range(0, len(days), MOST)]
+    return [(dataclasses.replace(p, as_of=part[-1]), part) for part in parts]
+
+
+def report_by_dates(t: LoanTables, p: Params, dates: Iterable[str | dt.date]) -> DataFrame:
+    """The report of every run date (``p.as_of`` is not used), with a column
+    ``as_of``. The same rows as one run per date; a date named twice is one."""
     out = None
-    for lo in range(0, len(days), MOST):
-        part = _pass(t, dataclasses.replace(p, as_of=days[min(lo + MOST, len(days)) - 1]), days[lo: lo + MOST])
+    for q, days in _passes(p, dates):
+        part = _pass(t, q, days)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``df`` from files of the run's own, its shuffle files gone."""
+    with session_conf(df.sparkSession, SHUFFLE_CLEANUP):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staged_report(t: LoanTables, p: Params, dates: Iterable[str | dt.date], root: str) -> Iterator[DataFrame]:
+    """``report_by_dates`` to be written: the rows lie under ``root``, a folder of this call that is
+    removed behind it. Each date has tasks of its own, which read the rows and nothing else."""
+    spark, out = t.loan_master.sparkSession, None
+    root = root.rstrip("/")
+    try:
+        for k, (q, days) in enumerate(_passes(p, dates)):
+            labels = _kept(account_labels(t, q, days), f"{root}/labels-{k}")
+            rows = _kept(_rows(t, labels), f"{root}/rows-{k}")
+            drop_path(spark, f"{root}/labels-{k}")
+            for i, d in enumerate(days):
+                part = rows.withColumns({"Segment": _label(i), "as_of": F.lit(d)}).select(*schemas.REPORT_COLUMNS, "as_of")
+                out = part if out is None else out.unionByName(part)
+        yield out
+    finally:
+        drop_path(spark, root)

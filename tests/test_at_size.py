@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import os
 import random
+import time
 from collections import Counter
 
 import pytest
 from conftest import call, d, frame
 from pyspark.sql import functions as F
+from test_by_dates import adversarial
 from test_plans import SCALE, _nodes, _plan
 
 from arrearly.operators import cycles as CY
 from arrearly.operators import daybits as DB
 from arrearly.params import Params
-from arrearly.plans import fused
-from arrearly.session import scratch_path
+from arrearly.plans import by_dates as BD
+from arrearly.plans import fused, registry
+from arrearly.session import scratch_path, shared_dir
 from arrearly.sources import fixtures, sinks
 
 P = Params.of("2024-02-10")
@@ -90,3 +94,71 @@ def test_a_snapshot_is_written_where_its_rows_are(spark):
         assert sinks.write_snapshots(two, root, [day, day + DAY], spread=spread) == {day: 1000, day + DAY: 1000}
         assert len(glob.glob(f"{root.removeprefix('file:')}/as_of=2024-01-02/part-*")) == files
         assert sinks.read_snapshot(spark, root).count() == 2000
+
+
+def _shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    return {x for x in (files.apply(i).getName() for i in range(files.size())) if x.startswith("shuffle_")}
+
+
+def _new_shuffle_files(spark, old):
+    """Those left a while after a write: they are removed in the background."""
+    until = time.time() + 10
+    while (left := _shuffle_files(spark) - old) and time.time() < until:
+        time.sleep(0.1)
+    return left
+
+
+def test_tasks_of_many_dates_write_a_file_each(spark):
+    days, root = [dt.date(2024, 1, 1) + i * DAY for i in range(5)], scratch_path(spark, "t-mixed")
+    rows = spark.range(0, 400, 1, 4).withColumn("as_of", F.explode(F.array(*[F.lit(x) for x in days])))
+    for part in (rows, rows.orderBy("id")):
+        assert sinks.write_snapshots(part, root, days, spread=True) == {x: 400 for x in days}
+        assert Counter(r.as_of for r in sinks.read_snapshot(spark, root).collect()) == {x: 400 for x in days}
+    assert sinks.write_snapshots(rows, root, days, spread=True) == {x: 400 for x in days}
+    assert [len(glob.glob(f"{root.removeprefix('file:')}/as_of={x}/part-*")) for x in days] == [4] * 5
+
+
+def _scratch(spark):
+    return set(os.listdir(shared_dir(spark).removeprefix("file:")))
+
+
+def test_a_snapshot_leaves_no_shuffle_files(spark, at_scale):
+    day, old = dt.date(2024, 1, 1), _shuffle_files(spark)
+    rows = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 100).alias("i")).count().withColumn("as_of", F.lit(day))
+    conf = [spark.conf.get(k, None) for k in ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters")]
+    root = scratch_path(spark, "t-no-shuffle")
+    for spread in (True, False):
+        assert sinks.write_snapshots(rows, root, [day], spread=spread) == {day: 100}
+        assert not _new_shuffle_files(spark, old)
+    assert glob.glob(f"{root.removeprefix('file:')}/as_of=2024-01-01/*.zstd.parquet")
+    assert conf == [spark.conf.get(k, None) for k in ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters")]
+
+
+def test_staged_rows_are_those_of_the_report(spark, monkeypatch):
+    t, root = adversarial(spark, 3), scratch_path(spark, "t-staged")
+    for most in (24, 4):
+        monkeypatch.setattr(BD, "MOST", most)
+        want = BD.report_by_dates(t, P, registry.RUN_DATES)
+        with BD.staged_report(t, P, [*registry.RUN_DATES, "2024-02-10"], root) as rows:  # named twice
+            assert rows.schema.simpleString() == want.schema.simpleString()
+            assert not any(x.startswith(("Exchange", "Sort", "Generate", "SortMergeJoin")) for x in _nodes(rows))
+            assert Counter(map(tuple, rows.collect())) == Counter(map(tuple, want.collect()))
+        assert not os.path.exists(root.removeprefix("file:"))
+    with pytest.raises(RuntimeError, match="stopped"):
+        with BD.staged_report(t, P, registry.RUN_DATES, root) as rows:
+            raise RuntimeError("stopped")
+    assert not os.path.exists(root.removeprefix("file:"))
+    with pytest.raises(ValueError):
+        with BD.staged_report(t, P, [], root):
+            pass
+
+
+def test_many_snapshots_leave_the_snapshots_alone(spark, sf0001, at_scale):
+    files, scratch = _shuffle_files(spark), _scratch(spark)
+    rows = registry.QUERIES["snapshot_many_dates"](spark, sf0001)
+    assert not _new_shuffle_files(spark, files)
+    (left,) = _scratch(spark) - scratch
+    assert left.startswith("report-many-")
+    assert rows.groupBy("as_of").count().count() == len(registry.RUN_DATES)
