@@ -43,6 +43,8 @@ from arrearly.session import SHUFFLE_CLEANUP, drop_path, session_conf
 from arrearly.sources.tables import LoanTables
 
 MOST = 24
+TOTAL = "total_overdue_amount"
+LABELS = (P.NO_SEGMENT_LABEL, *P.SEGMENT_LABELS)  # two bits a date
 
 
 def _any(cond: Column) -> Column:
@@ -148,7 +150,7 @@ def installment_features(inst: DataFrame, p: Params, dates: list[dt.date]) -> Da
 
 def account_labels(t: LoanTables, p: Params, dates: list[dt.date]) -> DataFrame:
     """(account, labels, lastrpcdate, lastptpdate, minunpaidinstallmentnumber):
-    labels[i] is the segment on date i, for accounts with a row past due."""
+    bits 2i and 2i + 1 of labels are the place in ``LABELS`` of the segment on date i, for accounts with a row past due."""
     f = (
         fused.band_features(t.loan_master, p, delinquent_only=True)
         .join(activity_features(t.calls, t.bucket_flow, p, dates), KEY, "left")
@@ -164,8 +166,7 @@ def account_labels(t: LoanTables, p: Params, dates: list[dt.date]) -> DataFrame:
         unknown_paid = t.installments.where(F.col(KEY).isNull()).agg(_gather(_paid_mask(p, dates)).alias("m"))
     f = f.withColumn("_unknown_paid", unknown_paid.scalar())
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    la, lb, lc = P.SEGMENT_LABELS
-    labels = []
+    labels = F.lit(0).cast("bigint")
     for i in range(len(dates)):
         since = F.coalesce(F.col(f"last_promise_{i}") >= F.col("bucket_entry"), F.lit(False))
         partial = ~yes(f"not_partial_{i}")
@@ -173,18 +174,26 @@ def account_labels(t: LoanTables, p: Params, dates: list[dt.date]) -> DataFrame:
              & yes("no_contact"))
         b = yes("band_b") & partial & (_bit(F.col("unconnected_recent"), i) | yes("refusal")) & ~since
         c = yes("band_c") & ~_bit(F.col("kept_promise"), i) & ~_bit(F.col("paid"), i) & ~_bit(F.col("_unknown_paid"), i)
-        labels.append(F.when(a, la).when(b, lb).when(c, lc).otherwise(P.NO_SEGMENT_LABEL))
-    return f.select(KEY, F.array(*labels).alias("labels"), "lastrpcdate", "lastptpdate", "minunpaidinstallmentnumber")
+        code = F.when(a, 1).when(b, 2).when(c, 3).otherwise(0).cast("bigint")
+        labels = labels.bitwiseOR(F.shiftleft(code, 2 * i))
+    return f.select(KEY, labels.alias("labels"), "lastrpcdate", "lastptpdate", "minunpaidinstallmentnumber")
 
 
 def _rows(t: LoanTables, labels: DataFrame) -> DataFrame:
-    """The report rows, once; ``Segment`` holds the labels of all dates."""
-    df = left_join_known(LN.loans_base(t.loan_master), labels, KEY)
-    return report_columns(attach_contacts(df.withColumnRenamed("labels", "Segment"), t.contacts))
+    """The report rows, once; ``Segment`` holds the labels of all dates. The overdue total does not travel with its parts."""
+    df = left_join_known(LN.loans_base(t.loan_master).drop(TOTAL), labels, KEY)
+    rows = attach_contacts(df.withColumnRenamed("labels", "Segment"), t.contacts)
+    return report_columns(rows.withColumn(TOTAL, C.total_overdue()))
 
 
 def _label(i: int | Column) -> Column:
-    return F.coalesce(F.get("Segment", F.lit(i) if isinstance(i, int) else i), F.lit(P.NO_SEGMENT_LABEL))
+    """The segment on date i; a row without account facts has none."""
+    place = F.lit(2) * (F.lit(i) if isinstance(i, int) else i)
+    code = F.call_function("shiftright", F.col("Segment"), place).bitwiseAND(F.lit(3).cast("bigint"))
+    out = None
+    for k, label in enumerate(LABELS[1:], 1):
+        out = F.when(code == k, label) if out is None else out.when(code == k, label)
+    return out.otherwise(LABELS[0])
 
 
 def _pass(t: LoanTables, p: Params, dates: list[dt.date]) -> DataFrame:
@@ -227,7 +236,7 @@ def staged_report(t: LoanTables, p: Params, dates: Iterable[str | dt.date], root
     try:
         for k, (q, days) in enumerate(_passes(p, dates)):
             labels = _kept(account_labels(t, q, days), f"{root}/labels-{k}")
-            rows = _kept(_rows(t, labels), f"{root}/rows-{k}")
+            rows = _kept(_rows(t, labels).drop(TOTAL), f"{root}/rows-{k}").withColumn(TOTAL, C.total_overdue())
             drop_path(spark, f"{root}/labels-{k}")
             for i, d in enumerate(days):
                 part = rows.withColumns({"Segment": _label(i), "as_of": F.lit(d)}).select(*schemas.REPORT_COLUMNS, "as_of")

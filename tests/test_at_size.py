@@ -155,6 +155,14 @@ def test_staged_rows_are_those_of_the_report(spark, monkeypatch):
             pass
 
 
+def test_labels_of_the_most_dates_fit_their_bits(spark):
+    rng = random.Random(7)
+    want = [[rng.randrange(4) for _ in range(BD.MOST)] for _ in range(20)]
+    df = spark.createDataFrame([(sum(c << 2 * i for i, c in enumerate(x)),) for x in want] + [(None,)], "Segment long")
+    got = df.select(*[BD._label(i).alias(f"a{i}") for i in range(BD.MOST)]).collect()
+    assert [list(r) for r in got] == [[BD.LABELS[c] for c in x] for x in want] + [["NA"] * BD.MOST]
+
+
 def test_many_snapshots_leave_the_snapshots_alone(spark, sf0001, at_scale):
     files, scratch = _shuffle_files(spark), _scratch(spark)
     rows = registry.QUERIES["snapshot_many_dates"](spark, sf0001)
